@@ -14,8 +14,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from snapfold import schemas
 
@@ -72,12 +71,15 @@ class Lake:
 
     def _commits(self) -> DataFrame:
         path = f"{self.root}/commits"
-        try:
-            return self.spark.read.schema(_COMMIT).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        file_system, at = self._files(path)
+        if not file_system.exists(at):
             return self.spark.createDataFrame([], _COMMIT)
+        return self.spark.read.schema(_COMMIT).parquet(path)
+
+    def _files(self, path: str):
+        """The Hadoop file system of a path, and the path for it."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
     def _latest(self) -> list:
         """The last committed folder of every table (one row per table)."""
@@ -144,15 +146,12 @@ class Lake:
 
     def expire(self, keep: int = 1) -> int:
         """Delete the folders of all but the last ``keep`` versions of every table."""
-        by_version = self.spark.createDataFrame(self._commits().collect(), _COMMIT)
-        rank = F.expr("row_number() OVER (PARTITION BY table_name ORDER BY version DESC)")
-        old = by_version.select("path", rank.alias("age")).where(F.col("age") > keep).collect()
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        conf = self.spark._jsc.hadoopConfiguration()
+        age = F.row_number().over(Window.partitionBy("table_name").orderBy(F.desc("version")))
+        old = self._commits().select("path", age.alias("age")).where(F.col("age") > keep).collect()
         deleted = 0
         for row in old:
-            path = hadoop.Path(row.path)
-            deleted += path.getFileSystem(conf).delete(path, True)
+            file_system, at = self._files(row.path)
+            deleted += file_system.delete(at, True)
         return deleted
 
     def _create(self, table: str, layout: Layout, path: str, buckets: int) -> None:
