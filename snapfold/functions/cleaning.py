@@ -2,6 +2,8 @@
 
 All of them are compositions of built-in expressions that take part in
 whole-stage code generation: no Python, no array lambdas, one pass per value.
+Each rule first brings a text into shape and then judges it, so that a projection
+over many columns can do the two in separate steps and shape every text once.
 """
 
 from __future__ import annotations
@@ -34,10 +36,8 @@ _CASE_IGNORABLE = (
 # Two Unicode noncharacters (reserved for process-internal use) and a space.
 _WORD_MARK = "\ufdd0\ufdd1 "
 
-_NON_DIGIT = r"[^\p{Nd}]"
-_DATE_SHAPE = (
-    r"^(?!0000)[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])$"
-)
+# A day of one digit may be padded with a space.
+_DATE_SHAPE = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-([0-9]{1,2}| [1-9])$"
 
 
 def strip(x: Column) -> Column:
@@ -64,9 +64,12 @@ def clean_names(x: Column) -> Column:
     return title_case(strip(x))
 
 
-def clean_email(x: Column) -> Column:
-    """Lower case; put back a lost ``@`` in front of a known domain; else NULL."""
-    mail = F.lower(strip(x))
+def mail_text(x: Column) -> Column:
+    return F.lower(strip(x))
+
+
+def mail_or_null(mail: Column) -> Column:
+    """Put back a lost ``@`` in front of a known domain; NULL if there is no address."""
     out = F.when(mail.isin(*NO_EMAIL), F.lit(None).cast("string")).when(
         F.contains(mail, F.lit("@")), mail
     )
@@ -79,39 +82,51 @@ def clean_email(x: Column) -> Column:
     return out
 
 
-def _digits(x: Column) -> Column:
-    return F.nullif(F.regexp_replace(x, _NON_DIGIT, ""), F.lit(""))
+def clean_email(x: Column) -> Column:
+    return mail_or_null(mail_text(x))
+
+
+def digits(x: Column) -> Column:
+    return F.regexp_replace(x, r"[^\p{Nd}]", "")
+
+
+def phone_or_null(number: Column) -> Column:
+    return F.when(number != "", number)
 
 
 def clean_phone(x: Column) -> Column:
     """Digits only (those of an extension stay); NULL if there are none."""
-    return _digits(x)
+    return phone_or_null(digits(x))
 
 
 @cache
-def _digit_alphabets() -> tuple[str, str]:
+def _other_digits() -> tuple[str, str]:
     """All decimal digits outside ASCII and the ASCII digits they stand for."""
-    digits = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Nd"]
-    return "".join(digits), "".join(str(unicodedata.decimal(c)) for c in digits)
+    other = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Nd"]
+    return "".join(other), "".join(str(unicodedata.decimal(c)) for c in other)
+
+
+def salary_or_null(number: Column) -> Column:
+    in_ascii = F.when(number.rlike("^[0-9]+$"), number).otherwise(
+        F.translate(number, *_other_digits())
+    )
+    return F.when(number != "", in_ascii).cast("int")
 
 
 def clean_salary(x: Column) -> Column:
     """Digits only, as INT; too large a number aborts (ANSI cast)."""
-    digits = _digits(x)
-    other, ascii_digits = _digit_alphabets()
-    return (
-        F.when(digits.rlike("^[0-9]+$"), digits)
-        .otherwise(F.translate(digits, other, ascii_digits))
-        .cast("int")
-    )
+    return salary_or_null(digits(x))
 
 
-def clean_date(x: Column) -> Column:
+def date_or_null(text: Column) -> Column:
     """A year-month-day text as a date; any other text, or no such day, is NULL."""
-    text = strip(x)
     return F.when(text.rlike(_DATE_SHAPE), F.replace(text, F.lit(" "), F.lit(""))).try_cast("date")
 
 
+def clean_date(x: Column) -> Column:
+    return date_or_null(strip(x))
+
+
 def resolve_dates(
     status: Column,
     start: Column,
@@ -146,7 +161,14 @@ def clean_employment_dates(
     )
 
 
-def clean_address(x: Column) -> Column:
-    """One line (line feeds become spaces, carriage returns stay), or NULL."""
-    line = strip(F.replace(x, F.lit("\n"), F.lit(" ")))
+def one_line(x: Column) -> Column:
+    """Line feeds become spaces (carriage returns stay), then both ends are stripped."""
+    return strip(F.replace(x, F.lit("\n"), F.lit(" ")))
+
+
+def address_or_null(line: Column) -> Column:
     return F.when(~F.lower(line).isin(*NO_ADDRESS), line)
+
+
+def clean_address(x: Column) -> Column:
+    return address_or_null(one_line(x))

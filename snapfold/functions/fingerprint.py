@@ -24,7 +24,7 @@ def row_text(*columns: Column) -> Column:
     def field(x: Column) -> Column:
         text = x.cast("string")
         quoted = F.concat(F.lit('"'), F.regexp_replace(text, r'(["\\])', "$1$1"), F.lit('"'))
-        plain = text.rlike(r'^[^"\\(),\s\x0b]+$')
+        plain = text.rlike(r'^[^"\\(),\s\x0b]+\z')
         return F.when(text.isNull(), "").when(plain, text).otherwise(quoted)
 
     return F.concat(F.lit("("), F.concat_ws(",", *map(field, columns)), F.lit(")"))

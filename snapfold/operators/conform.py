@@ -30,26 +30,51 @@ def normalise_nulls(df: DataFrame, tokens: tuple[str, ...] = schemas.NA_TOKENS)
 def conform_employees(raw: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """All cleaning rules at once, in silver column order.
 
-    Department and status are copied as they are.
+    Department and status are copied as they are.  The steps become stacked
+    projections of one code-generated stage: every text is shaped, and every date
+    read, exactly once.
     """
-    start, end, flag = cleaning.clean_employment_dates(
-        F.col("status"), F.col("joining_date"), F.col("termination_date")
+    shaped = raw.select(
+        F.col("employee_id").cast("int").alias("employee_id"),
+        cleaning.strip(F.col("first_name")).alias("first_name"),
+        cleaning.strip(F.col("last_name")).alias("last_name"),
+        "department",
+        cleaning.mail_text(F.col("email")).alias("email"),
+        cleaning.digits(F.col("phone")).alias("phone"),
+        "status",
+        cleaning.digits(F.col("salary")).alias("salary"),
+        cleaning.strip(F.col("joining_date")).alias("start_text"),
+        cleaning.strip(F.col("termination_date")).alias("end_text"),
+        cleaning.one_line(F.col("address")).alias("address"),
     )
-    cleaned = {
-        "employee_id": F.col("employee_id").cast("int"),
-        "first_name": cleaning.clean_names(F.col("first_name")),
-        "last_name": cleaning.clean_names(F.col("last_name")),
-        "department": F.col("department"),
-        "email": cleaning.clean_email(F.col("email")),
-        "phone": cleaning.clean_phone(F.col("phone")),
-        "status": F.col("status"),
-        "salary": cleaning.clean_salary(F.col("salary")),
+    dated = shaped.withColumns(
+        {
+            "start": cleaning.date_or_null(F.col("start_text")),
+            "end": cleaning.date_or_null(F.col("end_text")),
+        }
+    )
+    start, end, flag = cleaning.resolve_dates(
+        F.col("status"),
+        F.col("start"),
+        F.col("end"),
+        F.col("start_text").isNull(),
+        F.col("end_text").isNull(),
+    )
+    judged = {
+        "first_name": cleaning.title_case(F.col("first_name")),
+        "last_name": cleaning.title_case(F.col("last_name")),
+        "email": cleaning.mail_or_null(F.col("email")),
+        "phone": cleaning.phone_or_null(F.col("phone")),
+        "salary": cleaning.salary_or_null(F.col("salary")),
         "joining_date": start,
         "termination_date": end,
         "status_flag": flag,
-        "address": cleaning.clean_address(F.col("address")),
+        "address": cleaning.address_or_null(F.col("address")),
         "updated_at": as_of_column(as_of),
     }
-    return raw.select(
-        *[cleaned[name].alias(name) for name in schemas.names(schemas.SILVER_EMPLOYEES)]
+    return dated.select(
+        *[
+            judged.get(name, F.col(name)).alias(name)
+            for name in schemas.names(schemas.SILVER_EMPLOYEES)
+        ]
     )

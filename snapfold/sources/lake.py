@@ -124,6 +124,14 @@ class Lake:
             finally:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(pending)}")
             entries.append((version, table, path, buckets))
+        self._commit(entries)
+        self._version = version
+        for _, table, path, buckets in entries:
+            self._point(table, path, buckets)
+        return version
+
+    def _commit(self, entries: list[tuple[int, str, str, int]]) -> None:
+        """Append one file, which appears as a whole or not at all."""
         (
             self.spark.createDataFrame(entries, _COMMIT.rsplit(",", 1)[0])
             .withColumn("committed_at", F.current_timestamp())
@@ -131,10 +139,6 @@ class Lake:
             .write.mode("append")
             .parquet(f"{self.root}/commits")
         )
-        self._version = version
-        for _, table, path, buckets in entries:
-            self._point(table, path, buckets)
-        return version
 
     def by_key(self, table: str, rows: DataFrame) -> DataFrame:
         """``rows`` shuffled the way ``table`` is bucketed: one file per bucket."""

@@ -1,0 +1,226 @@
+"""Change classification and its application, in one pass and statement by statement."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapfold import schemas
+from snapfold.functions.fingerprint import row_fingerprint, row_text
+from snapfold.operators import cdc
+from snapfold.operators.keys import KeyViolation, check_key, key_violations
+from snapfold.plans import inputs
+
+T = dt.date(2025, 6, 1)
+THEN = dt.date(2024, 1, 1)
+D = dt.date
+
+SCHEMA = ", ".join(f"{n} {t.split('(')[0].replace('VARCHAR', 'string')}"
+                   for n, t in schemas.SILVER_EMPLOYEES)
+
+
+def row(key, **values):
+    base = dict(
+        employee_id=key,
+        first_name="F",
+        last_name="L",
+        department="d1",
+        email="e1",
+        phone="1",
+        status="Active",
+        salary=100,
+        joining_date=D(2020, 1, 1),
+        termination_date=None,
+        status_flag=False,
+        address="x",
+        updated_at=THEN,
+    )
+    base.update(values)
+    return tuple(base[n] for n in schemas.names(schemas.SILVER_EMPLOYEES))
+
+
+LEFT = dict(status="Terminated")
+OLD = [
+    row(2),
+    row(3, email="e1"),
+    row(4),
+    row(5, salary=100),
+    row(6, last_name=None),
+    row(7),
+    row(8),
+    row(9, termination_date=D(2024, 1, 2), **LEFT),
+    row(10, termination_date=D(2024, 1, 2), **LEFT),
+    row(11, status=None, termination_date=D(2023, 1, 1)),
+    row(12, termination_date=D(2023, 5, 5)),
+    row(13, status=None, first_name=None, salary=None, department=None, last_name=None),
+]
+NEW = [
+    row(1, joining_date=D(2020, 1, 1), termination_date=D(2021, 1, 1), updated_at=T, **LEFT),
+    # 2 is gone
+    row(3, email="e2", updated_at=T),
+    row(4, updated_at=T),
+    row(5, salary=200, updated_at=T),
+    row(6, last_name="", updated_at=T),
+    row(7, department="d2", email="e2", phone="2", address="y", status_flag=True, updated_at=T),
+    row(8, termination_date=D(2024, 3, 1), updated_at=T, **LEFT),
+    row(9, status="Active", updated_at=T),
+    row(10, department="d2", termination_date=D(2025, 1, 1), updated_at=T, **LEFT),
+    row(11, termination_date=D(2025, 1, 1), updated_at=T, **LEFT),
+    row(12, status="Leave", updated_at=T),
+    row(13, status=None, first_name=None, salary=None, department=None, last_name=None),
+]
+ACTIONS = {
+    1: "INSERT",
+    2: "DELETE",
+    3: "NO_CHANGE",
+    4: "NO_CHANGE",
+    5: "UPDATE",
+    6: "UPDATE",
+    7: "UPDATE",
+    8: "UPDATE",
+    9: "UPDATE",
+    10: "UPDATE",
+    11: "UPDATE",
+    12: "UPDATE",
+    13: "NO_CHANGE",
+}
+RESULT = {
+    1: row(1, joining_date=T, termination_date=None, updated_at=T, **LEFT),
+    3: OLD[1],
+    4: OLD[2],
+    5: row(5, salary=100, updated_at=T),
+    6: row(6, last_name="", updated_at=T),
+    7: row(7, department="d2", email="e2", phone="2", address="y", status_flag=True, updated_at=T),
+    8: row(8, termination_date=T, updated_at=T, **LEFT),
+    9: row(9, termination_date=None, updated_at=T),
+    10: row(10, department="d2", termination_date=D(2024, 1, 2), updated_at=T, **LEFT),
+    11: row(11, termination_date=D(2023, 1, 1), updated_at=T, **LEFT),
+    12: row(12, status="Leave", termination_date=D(2023, 5, 5), updated_at=T),
+    13: OLD[11],
+}
+
+
+@pytest.fixture(scope="module")
+def pair(spark):
+    return spark.createDataFrame(NEW, SCHEMA), spark.createDataFrame(OLD, SCHEMA)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_classification(pair):
+    changes = cdc.classify(*pair)
+    assert {r.employee_id: r.cdc_action for r in changes.collect()} == ACTIONS
+    deleted = cdc.only(changes, cdc.DELETE).collect()[0].asDict()
+    assert deleted.pop("employee_id") == 2 and deleted.pop("cdc_action") == "DELETE"
+    assert set(deleted.values()) == {None} and "updated_at" not in deleted
+    assert {r.cdc_action: r.n_rows for r in cdc.action_counts(changes).collect()} == {
+        "INSERT": 1,
+        "DELETE": 1,
+        "UPDATE": 8,
+        "NO_CHANGE": 3,
+    }
+
+
+def test_apply_by_hand(pair):
+    applied = cdc.apply_changes(*pair, as_of=T)
+    assert applied.columns == schemas.names(schemas.SILVER_EMPLOYEES)
+    assert {r.employee_id: tuple(r) for r in applied.collect()} == RESULT
+
+
+def in_statements(incoming, current, rules=cdc.EMPLOYEES, as_of=T):
+    """Inserts, updates and deletes as separate joins."""
+    changes = cdc.classify(incoming, current, rules)
+    inserted = cdc.inserted_rows(changes, current.columns, rules, as_of)
+    updated = cdc.apply_updates(current, changes, rules, as_of)
+    survivors = cdc.apply_deletes(current, changes, rules)
+    kept = survivors.join(updated.select("employee_id"), "employee_id", "left_anti")
+    return inserted.unionByName(updated).unionByName(kept)
+
+
+def test_single_pass_equals_separate_statements(pair):
+    assert rows(cdc.apply_changes(*pair, as_of=T)) == rows(in_statements(*pair))
+
+
+@pytest.mark.parametrize("rules", [cdc.EMPLOYEES, cdc.EMPLOYEES.also_applying("salary")])
+def test_single_pass_equals_separate_statements_on_orders(spark, sf_dir, rules):
+    incoming = inputs.order_state(spark, sf_dir, inputs.LATER)
+    current = inputs.order_state(spark, sf_dir, inputs.EARLIER)
+    one = cdc.apply_changes(incoming, current, rules, inputs.LATER)
+    assert rows(one) == rows(in_statements(incoming, current, rules, inputs.LATER))
+
+
+def test_same_state_has_no_changes(pair):
+    _, current = pair
+    counts = cdc.action_counts(cdc.classify(current, current.alias("again"))).collect()
+    assert [tuple(r) for r in counts] == [("NO_CHANGE", len(OLD))]
+
+
+def test_salary_changes_never_settle_unless_applied(pair):
+    incoming, current = pair
+    again = cdc.classify(incoming, cdc.apply_changes(incoming, current, as_of=T))
+    assert {r.employee_id for r in cdc.only(again, "UPDATE").collect()} == {5}
+    rules = cdc.EMPLOYEES.also_applying("salary")
+    settled = cdc.apply_changes(incoming, current, rules, T)
+    again = cdc.classify(incoming, settled, rules)
+    assert [r.cdc_action for r in cdc.action_counts(again).collect()] == ["NO_CHANGE"]
+
+
+def test_applying_again_changes_nothing(pair):
+    incoming, current = pair
+    once = cdc.apply_changes(incoming, current, as_of=T)
+    assert rows(cdc.apply_changes(incoming, once, as_of=T)) == rows(once)
+
+
+def test_other_compare_columns(pair):
+    from dataclasses import replace
+
+    rules = replace(cdc.EMPLOYEES, compare=(*cdc.EMPLOYEES.compare, "email"))
+    actions = {r.employee_id: r.cdc_action for r in cdc.classify(*pair, rules).collect()}
+    assert actions == {**ACTIONS, 3: "UPDATE"}
+
+
+def test_compound_key(spark):
+    rules = cdc.ChangeRules(key=("a", "b"), compare=("v",), apply=("v",))
+    new = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 1, 7)], "a int, b int, v int")
+    old = spark.createDataFrame([(1, 1, 5), (1, 2, 0), (3, 1, 7)], "a int, b int, v int")
+    got = {(r.a, r.b): r.cdc_action for r in cdc.classify(new, old, rules).collect()}
+    assert got == {(1, 1): "NO_CHANGE", (1, 2): "UPDATE", (2, 1): "INSERT", (3, 1): "DELETE"}
+    assert rows(cdc.apply_changes(new, old, rules)) == [(1, 1, 5), (1, 2, 6), (2, 1, 7)]
+
+
+def test_one_shuffle_per_side(pair):
+    incoming, current = pair
+    plan = cdc.apply_changes(incoming, current, as_of=T)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.count("Exchange") == 2
+    assert "SortMergeJoin" in physical and "FullOuter" in physical
+
+
+def test_row_text(spark):
+    schema = "a string, b string, c int"
+    cases = [
+        (("x", "y", 1), "(x,y,1)"),
+        ((None, "", None), '(,"",)'),
+        (("O'Brien", "a b", 2), '(O\'Brien,"a b",2)'),
+        (('say "hi"', "back\\slash", 3), '("say ""hi""","back\\\\slash",3)'),
+        (("a,b", "(c)", 4), '("a,b","(c)",4)'),
+        (("tab\t", "line\n", 5), '("tab\t","line\n",5)'),
+    ]
+    df = spark.createDataFrame([c for c, _ in cases], schema)
+    got = df.select(row_text(F.col("a"), F.col("b"), F.col("c")))
+    assert [r[0] for r in got.collect()] == [text for _, text in cases]
+    marks = df.select(row_fingerprint(F.col("a"), F.col("b"), F.col("c"))).distinct().count()
+    assert marks == len(cases)
+
+
+def test_key_report_and_check(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
+    assert sorted(map(tuple, key_violations(df, "k").collect()), key=repr) == [(2, 2), (None, 1)]
+    with pytest.raises(KeyViolation, match=r"\(2,\) x2"):
+        check_key(df, "k")
+    check_key(df.where("k = 1"), "k")
+    many = spark.range(1000).union(spark.range(1000))
+    with pytest.raises(KeyViolation, match=r"\.\.\.$"):
+        check_key(many, "id")

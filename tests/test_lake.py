@@ -1,0 +1,133 @@
+"""Versioned publishing: constraints, atomicity, pointers, co-location."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from snapfold.operators import cdc
+from snapfold.sources.lake import LAYOUTS, Lake, Layout
+
+STATE = "silver.employees"
+D = dt.date(2025, 1, 1)
+
+
+def state(spark, keys, **values):
+    columns = dict(LAYOUTS[STATE].columns)
+    base = {name: F.lit(None).cast(t.split("(")[0].replace("VARCHAR", "string"))
+            for name, t in columns.items()}
+    base.update({name: F.lit(v) for name, v in values.items()})
+    ids = spark.createDataFrame([(k,) for k in keys], "employee_id int")
+    return ids.select(*[ids[n] if n == "employee_id" else base[n].alias(n) for n in columns])
+
+
+def keys(lake):
+    return sorted(r.employee_id for r in lake.table(STATE).collect())
+
+
+def test_publish_replaces_and_types_hold(spark, lake):
+    with pytest.raises(LookupError):
+        lake.table(STATE)
+    lake.publish({STATE: state(spark, [1, 2], first_name="a", salary=5)})
+    lake.publish({STATE: state(spark, [3], updated_at=D)})
+    assert keys(lake) == [3]
+    assert spark.table(lake.catalog_name(STATE)).dtypes == lake.table(STATE).dtypes
+    assert [r.version for r in lake.history().collect()] == [1, 2]
+
+
+def test_columns_are_matched_by_name(spark, lake):
+    df = state(spark, [1], first_name="a", last_name="b")
+    lake.publish({STATE: df.select(*reversed(df.columns))})
+    row = lake.table(STATE).first()
+    assert (row.employee_id, row.first_name, row.last_name) == (1, "a", "b")
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [{"first_name": "x" * 101}, {"phone": "1" * 21}, {"status": "s" * 16}, {"salary": 2**31}],
+    ids=["name", "phone", "status", "salary"],
+)
+def test_limits_abort_and_leave_the_last_state(spark, lake, bad):
+    lake.publish({STATE: state(spark, [1])})
+    with pytest.raises(PySparkException):
+        lake.publish({STATE: state(spark, [2], **bad)})
+    assert keys(lake) == [1]
+    lake.publish({STATE: state(spark, [3], first_name="x" * 100)})
+    assert keys(lake) == [3]
+
+
+def test_several_tables_are_published_together_or_not_at_all(spark, tmp_path):
+    layouts = {
+        "gold.a": Layout((("v", "VARCHAR(3)"),)),
+        "gold.b": Layout((("v", "VARCHAR(3)"),)),
+    }
+    lake = Lake(spark, str(tmp_path), prefix="together_", layouts=layouts)
+    word = lambda text: spark.range(1).select(F.lit(text).alias("v"))
+    lake.publish({"gold.a": word("a1"), "gold.b": word("b1")})
+    with pytest.raises(PySparkException):
+        lake.publish({"gold.a": word("a2"), "gold.b": word("too long")})
+    for reader in (lake, Lake(spark, str(tmp_path), prefix="reader_", layouts=layouts)):
+        assert [reader.table(t).first().v for t in layouts] == ["a1", "b1"]
+
+
+def test_interrupted_publish_is_invisible(spark, lake, monkeypatch):
+    """Everything is written but the commit: as when the driver dies in between."""
+    lake.publish({STATE: state(spark, [1])})
+
+    def die(*_, **__):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(lake, "_commit", die)
+    with pytest.raises(KeyboardInterrupt):
+        lake.publish({STATE: state(spark, [2])})
+    again = Lake(spark, lake.root, prefix=lake.prefix)
+    assert keys(again) == [1]
+    again.publish({STATE: state(spark, [3])})
+    assert keys(again) == [3]
+
+
+def test_reopening_finds_the_last_commit(spark, lake):
+    lake.publish({STATE: state(spark, [1])})
+    lake.publish({STATE: state(spark, [2])})
+    other = Lake(spark, lake.root, prefix=lake.prefix + "other_", buckets=7)
+    assert keys(other) == [2]
+    other.publish({STATE: state(spark, [4])})
+    assert keys(Lake(spark, lake.root, prefix=lake.prefix)) == [4]
+
+
+def test_stale_readers_keep_their_version(spark, lake):
+    lake.publish({STATE: state(spark, [1])})
+    before = lake.table(STATE)
+    lake.publish({STATE: state(spark, [2])})
+    assert [r.employee_id for r in before.collect()] == [1]
+
+
+def test_expire_keeps_the_last_versions(spark, lake):
+    import glob
+
+    for key in (1, 2, 3):
+        lake.publish({STATE: state(spark, [key])})
+    assert lake.expire(keep=2) == 1
+    assert len(glob.glob(f"{lake.root}/silver/employees/v*")) == 2
+    assert lake.expire(keep=2) == 0
+    assert keys(lake) == [3]
+
+
+def test_keyed_tables_are_not_shuffled_again(spark, lake):
+    import glob
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = state(spark, range(100), first_name="a")
+        lake.publish({STATE: lake.by_key(STATE, rows)})
+        current = lake.table(STATE)
+        plan = cdc.apply_changes(rows, current, as_of=D)._jdf.queryExecution().toString()
+        assert plan.split("== Physical Plan ==")[1].count("Exchange") == 1
+        lake.publish({STATE: cdc.apply_changes(rows, current, as_of=D)})
+        # Still one file per bucket, without another shuffle.
+        newest = sorted(glob.glob(f"{lake.root}/silver/employees/v*"))[-1]
+        assert len(glob.glob(f"{newest}/*.parquet")) == lake.buckets
+        assert keys(lake) == list(range(100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
