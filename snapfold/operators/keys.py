@@ -28,11 +28,13 @@ def key_violations(df: DataFrame, *key: str) -> DataFrame:
 
 
 def check_key(df: DataFrame, *key: str) -> None:
-    """Raise, with some examples, unless ``key`` identifies every row."""
-    found = key_violations(df, *key).limit(N_EXAMPLES + 1).collect()
-    if found:
-        examples = ", ".join(
-            f"{tuple(row[name] for name in key)} x{row.n_rows}" for row in found[:N_EXAMPLES]
+    """Raise, with their number and some examples, unless ``key`` identifies every row."""
+    violations = key_violations(df, *key)
+    n = violations.count()
+    if n:
+        found = violations.limit(N_EXAMPLES).collect()
+        examples = ", ".join(f"{tuple(r[k] for k in key)} x{r.n_rows}" for r in found)
+        more = ", ..." if n > N_EXAMPLES else ""
+        raise KeyViolation(
+            f"key ({', '.join(key)}) has {n} missing or repeated values: {examples}{more}"
         )
-        more = ", ..." if len(found) > N_EXAMPLES else ""
-        raise KeyViolation(f"key ({', '.join(key)}) is not unique and present: {examples}{more}")

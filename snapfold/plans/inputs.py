@@ -118,16 +118,16 @@ LINES_AS_OF = {
         THEN cast(floor(l_extendedprice) as bigint) END)""",
     "last_ship": """max(CASE WHEN cast(l_shipdate as date) <= {day}
         THEN cast(l_shipdate as date) END)""",
-    "worst_flag": "max(CASE WHEN cast(l_shipdate as date) <= {day} THEN l_returnflag END)",
+    "worst_flag": "max(CASE WHEN cast(l_shipdate as date) <= {day} THEN ascii(l_returnflag) END)",
 }
 
 # One record per order placed in the three years before a day, as known on it.
 ORDER_SNAPSHOT = {
     "employee_id": "cast(o_orderkey as int)",
-    "first_name": """CASE WHEN n_shipped >= 2 THEN concat('Flag ', worst_flag)
+    "first_name": """CASE WHEN n_shipped >= 2 THEN concat('Flag ', chr(worst_flag))
         WHEN n_shipped = 1 THEN '' END""",
     "last_name": "concat('Order#', cast(o_orderkey as string))",
-    "department": "CASE WHEN worst_flag = 'R' THEN 'RETURNS' ELSE o_orderpriority END",
+    "department": "CASE WHEN chr(worst_flag) = 'R' THEN 'RETURNS' ELSE o_orderpriority END",
     "email": "concat('order', cast(o_orderkey as string), '@in', cast({day} as string), '.com')",
     "phone": "concat('1', cast(o_custkey as string), cast(coalesce(n_shipped, 0) as string))",
     "status": """CASE WHEN coalesce(n_shipped, 0) = 0

@@ -73,7 +73,7 @@ def csv_snapshot_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published raw table, through its staging view."""
     path = _roster_files(spark, sf_dir, "bronze_staging_files")
-    lake = _new_lake(spark, "bronze_staging")
+    lake = new_lake(spark, "bronze_staging")
     load_bronze(lake, path)
     return spark.table(lake.catalog_name("bronze.tmp_employees"))
 
@@ -278,7 +278,7 @@ def gold_after_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- whole cycles ----------------------------------------------------------------
 
 
-def _new_lake(spark: SparkSession, name: str) -> Lake:
+def new_lake(spark: SparkSession, name: str) -> Lake:
     """An empty lake in a folder of its own."""
     root = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     return Lake(spark, root, prefix=f"{name}_")
@@ -286,7 +286,7 @@ def _new_lake(spark: SparkSession, name: str) -> Lake:
 
 def _two_cycles(spark: SparkSession, sf_dir: str, name: str) -> Lake:
     """The earlier and then the later order snapshot, as files, through all layers."""
-    lake = _new_lake(spark, name)
+    lake = new_lake(spark, name)
     for as_of in (inputs.EARLIER, inputs.LATER):
         rows = inputs.order_snapshot(spark, sf_dir, as_of)
         as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in SNAPSHOT_COLUMNS])

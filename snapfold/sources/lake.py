@@ -58,6 +58,8 @@ class Lake:
         self.prefix = prefix
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.layouts = layouts or LAYOUTS
+        # Buckets are written as one sorted file each; let joins make use of the order.
+        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
         for database in sorted({name.split(".")[0] for name in self.layouts}):
             spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS `{prefix}{database}` "

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from snapfold import schemas
 from snapfold.operators.conform import normalise_nulls
+from snapfold.sources import records as record_tasks
+
+# Executors get the task code with the plan; the package need not be installed there.
+cloudpickle.register_pickle_by_value(record_tasks)
 
 _CSV = {"quote": '"', "escape": '"', "lineSep": "\n"}
 _SURPLUS, _CORRUPT = "_surplus", "_corrupt"
@@ -19,6 +24,9 @@ SPLIT_FACTOR = 4
 # Longest record that may reach over an input split's end; more is a lost quote.
 MAX_SHARED_RECORD = 128 * 1024 * 1024
 
+# What is known of up to this many splits (about 100 bytes each) is broadcast.
+MAX_BROADCAST_SPLITS = 500_000
+
 
 def read_snapshot(
     spark: SparkSession,
@@ -60,9 +68,19 @@ def _split_bytes(spark: SparkSession) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
 
 
-def _largest_file(spark: SparkSession, paths: list[str]) -> int:
+def _file_lengths(spark: SparkSession, paths: list[str]) -> DataFrame:
     """From the file listing; contents are not read."""
-    return spark.read.format("binaryFile").load(paths).agg(F.max("length")).first()[0] or 0
+    return spark.read.format("binaryFile").load(paths).select("length")
+
+
+def _largest_file(spark: SparkSession, paths: list[str]) -> int:
+    return _file_lengths(spark, paths).agg(F.max("length")).first()[0] or 0
+
+
+def _count_splits(spark: SparkSession, paths: list[str]) -> int:
+    """At most; a file has one split more than it fills."""
+    splits = F.floor(F.col("length") / _split_bytes(spark)) + 1
+    return _file_lengths(spark, paths).agg(F.sum(splits)).first()[0] or 0
 
 
 def _text_schema(columns: Sequence[str]) -> str:
@@ -98,10 +116,10 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
     """Records of quoted CSV, put together from lines read in independent splits.
 
     A line starts a record iff an even number of quotes precedes it in its file.
-    Quotes are counted per split and summed up over the splits of a file (one row
-    per split), which settles every line of every split.  A record's lines are
-    then gathered within its split; only the one record that two neighbouring
-    splits may share is put together across them (at most two pieces per split).
+    Quotes are counted per split and summed up over the splits of a file, which
+    settles every line.  Each task then joins the lines of its splits to records,
+    in file order and without a shuffle.  Only the one record that neighbouring
+    splits may share is put together afterwards: at most two fragments per split.
     """
     split = ["file", "start"]
     lines = spark.read.text(paths, lineSep="\n").select(
@@ -109,44 +127,37 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
-        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
     )
-
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
     splits_before = (
         Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
+    # The splits that begin inside a quoted field.
+    begun_inside = (
         lines.groupBy(*split)
-        .agg(F.sum("quotes").alias("in_split"))
-        .select(*split, F.coalesce(F.sum("in_split").over(splits_before), F.lit(0)).alias("offset"))
+        .agg(F.sum(quotes).alias("quotes"))
+        .withColumn("before", F.sum("quotes").over(splits_before))
+        .where(F.col("before") % 2 == 1)
+        .select(*split, F.lit(True).alias("inside"))
     )
-
-    in_order = Window.partitionBy(*split).orderBy("pos")
-    lines_so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quotes_after = F.col("offset") + F.col("seen")
-    pieces = (
-        lines.withColumn("seen", F.sum("quotes").over(lines_so_far))
-        .withColumn("nth", F.row_number().over(in_order))
-        .join(offsets, split)
-        .withColumn("starts", F.when((quotes_after - F.col("quotes")) % 2 == 0, F.col("pos")))
-        .withColumn("record", F.max("starts").over(lines_so_far))
-        .groupBy(*split, "record")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("lines"),
-            F.max_by(quotes_after % 2 == 1, "pos").alias("open"),
-            F.max((F.col("start") == 0) & (F.col("nth") == 1)).alias("is_header"),
+    if _count_splits(spark, paths) <= MAX_BROADCAST_SPLITS:
+        located = lines.join(F.broadcast(begun_inside), split, "left")
+    else:
+        located = (
+            lines.repartition(*split)
+            .join(begun_inside, split, "left")
+            .sortWithinPartitions(*split, "pos")
         )
-        .withColumn("text", F.array_join(F.col("lines.line"), "\n"))
-        .drop("lines")
-    )
+    pieces = located.select(
+        *split, F.coalesce("inside", F.lit(False)).alias("inside"), "line"
+    ).mapInArrow(record_tasks.assemble, record_tasks.PIECES)
 
-    # A piece without a start continues the last record begun before it.
-    along_file = Window.partitionBy("file").orderBy("start", F.asc_nulls_first("record"))
-    along_record = Window.partitionBy("file", "record").orderBy("start")
-    is_shared = F.col("record").isNull() | F.col("open")
+    # A fragment that is no head begins a record; the heads after it continue it.
+    along_file = Window.partitionBy("file").orderBy("start", F.desc("head"))
+    along_record = Window.partitionBy("file", "record").orderBy("start", F.desc("head"))
     shared = (
-        pieces.where(is_shared)
-        .withColumn("record", F.max("record").over(along_file))
+        pieces.where(F.col("file").isNotNull())
+        .withColumn("record", F.count_if(~F.col("head")).over(along_file))
         .withColumn("length", F.sum(F.length("text")).over(along_record))
         .withColumn(
             "text",
@@ -163,9 +174,9 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         )
         .select("is_header", F.array_join(F.col("parts.text"), "\n").alias("text"))
     )
-    records = pieces.where(~is_shared).select("is_header", "text").unionByName(shared)
+    records = pieces.where(F.col("file").isNull()).select("is_header", "text").unionByName(shared)
 
-    parsed = records.withColumn("text", F.regexp_replace("text", r"\r$", "")).select(
+    parsed = records.withColumn("text", F.regexp_replace("text", r"\r\z", "")).select(
         "is_header",
         F.from_csv("text", _text_schema([*header, _SURPLUS]), _CSV).alias("row"),
         (F.col("text") == "").alias("is_blank"),
@@ -173,10 +184,16 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
     same_header = F.to_json("row") == F.to_json(
         F.struct(*[F.lit(name).alias(name) for name in header])
     )
-    is_body = F.when(F.col("is_blank"), F.lit(False)).when(
-        F.col("is_header"),
-        _require(same_header, F.lit("false"), "snapshot files with different headers").cast("boolean"),
-    ).otherwise(True)
+    is_body = (
+        F.when(F.col("is_blank"), False)
+        .when(
+            F.col("is_header"),
+            _require(
+                same_header, F.lit("false"), "snapshot files with different headers"
+            ).cast("boolean"),
+        )
+        .otherwise(True)
+    )
     fits = F.col("row")[_SURPLUS].isNull()
     first = _require(fits, F.col("row")[header[0]], "snapshot row with too many fields")
     return parsed.where(is_body).select(

@@ -75,6 +75,15 @@ def test_records_are_put_together_over_any_splits(spark, tmp_path, split_bytes,
     assert rows(got) == expected(first + second)
 
 
+def test_records_are_put_together_without_a_broadcast(spark, tmp_path, split_bytes, monkeypatch):
+    records = nasty_records(60, 5)
+    path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
+    split_bytes(333)
+    monkeypatch.setattr(snapshot, "MAX_BROADCAST_SPLITS", 0)
+    got = read_snapshot(spark, path, in_splits=True)
+    assert rows(got) == expected(records)
+
+
 def test_whole_files_agree_with_splits(spark, tmp_path):
     records = nasty_records(200, 3)
     path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
