@@ -87,7 +87,7 @@ def clean_email(x: Column) -> Column:
 
 
 def digits(x: Column) -> Column:
-    return F.regexp_replace(x, r"[^\p{Nd}]", "")
+    return F.regexp_replace(x, r"[^\p{Nd}]+", "")
 
 
 def phone_or_null(number: Column) -> Column:

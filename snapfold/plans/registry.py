@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,7 +21,7 @@ from snapfold.operators.keys import key_violations
 from snapfold.plans import inputs
 from snapfold.plans.cycle import load_bronze, run_cycle
 from snapfold.schemas import SNAPSHOT_COLUMNS
-from snapfold.session import scratch_dir
+from snapfold.session import configure, scratch_dir
 from snapfold.sources.lake import Lake
 from snapfold.sources.snapshot import read_snapshot
 
@@ -309,8 +310,18 @@ def cycle_hiring_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(lake.table("gold.hiring_trends"))
 
 
+def _configured(query: Query) -> Query:
+    """The query, with the settings it relies on put into the session first."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(configure(spark), sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query
+    query.__name__: _configured(query)
     for query in (
         csv_snapshot,
         csv_snapshot_in_splits,

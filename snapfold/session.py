@@ -9,10 +9,20 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# ANSI: overflows and bad casts abort a load instead of turning into NULL.
+# What the operators rely on, settable on any running session:
+# - ANSI: overflows and bad casts abort a load instead of turning into NULL.
+# - Generated methods beyond 8000 bytes are never JIT-compiled; wide projections
+#   run faster outside whole-stage code generation than in one such method.
+# - Bucketed tables are written as one sorted file per bucket; joins may use that.
+RUNTIME = {
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
+
 # AQE: shuffle partitions are sized from what was really written, skew is split.
 SETTINGS = {
-    "spark.sql.ansi.enabled": "true",
+    **RUNTIME,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -21,6 +31,13 @@ SETTINGS = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Put the settings the operators rely on into a session made elsewhere."""
+    for name, value in RUNTIME.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def local_session(
     cores: str | int = "*",
     shuffle_partitions: int = 8,

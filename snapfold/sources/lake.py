@@ -12,11 +12,13 @@ There is one writer per lake at a time, as for any full-snapshot load.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from snapfold import schemas
+from snapfold.session import configure
 
 _COMMIT = "version BIGINT, table_name STRING, path STRING, buckets INT, committed_at TIMESTAMP"
 
@@ -58,8 +60,7 @@ class Lake:
         self.prefix = prefix
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.layouts = layouts or LAYOUTS
-        # Buckets are written as one sorted file each; let joins make use of the order.
-        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+        configure(spark)
         for database in sorted({name.split(".")[0] for name in self.layouts}):
             spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS `{prefix}{database}` "
@@ -114,24 +115,30 @@ class Lake:
         and out-of-range numbers abort, and nothing is published.
         """
         version = self._version + 1
-        entries = []
-        for table, rows in tables.items():
-            buckets = self.buckets if self.layouts[table].bucket_by else 0
-            path = f"{self.root}/{table.replace('.', '/')}/v{version:08d}-{uuid.uuid4().hex[:8]}"
-            pending = f"{table}__v{version}"
-            self._create(pending, self.layouts[table], path, buckets)
-            try:
-                columns = schemas.names(self.layouts[table].columns)
-                rows.select(*columns).write.insertInto(self.catalog_name(pending))
-            finally:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(pending)}")
-            entries.append((version, table, path, buckets))
+        with ThreadPoolExecutor(len(tables)) as pool:
+            entries = list(
+                pool.map(lambda item: self._write(version, *item), tables.items())
+            )
         self._commit(entries)
         self._version = version
         for _, table, path, buckets in entries:
             self._point(table, path, buckets)
         return version
 
+    def _write(self, version: int, table: str, rows: DataFrame) -> tuple[int, str, str, int]:
+        """Insert the rows into a new folder; returns its entry for the commit."""
+        layout = self.layouts[table]
+        buckets = self.buckets if layout.bucket_by else 0
+        path = f"{self.root}/{table.replace('.', '/')}/v{version:08d}-{uuid.uuid4().hex[:8]}"
+        pending = f"{table}__v{version}"
+        self._create(pending, layout, path, buckets)
+        try:
+            columns = schemas.names(layout.columns)
+            rows.select(*columns).write.insertInto(self.catalog_name(pending))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(pending)}")
+        return version, table, path, buckets
+
     def _commit(self, entries: list[tuple[int, str, str, int]]) -> None:
         """Append one file, which appears as a whole or not at all."""
         (
