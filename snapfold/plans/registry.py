@@ -17,10 +17,10 @@ from snapfold.functions.fingerprint import row_fingerprint, row_text
 from snapfold.functions.numeric import rounded_mean
 from snapfold.operators import cdc, gold
 from snapfold.operators.conform import conform_employees, normalise_nulls
-from snapfold.operators.keys import key_violations
+from snapfold.operators.keys import check_key, key_violations
 from snapfold.plans import inputs
-from snapfold.plans.cycle import load_bronze, run_cycle
-from snapfold.schemas import SNAPSHOT_COLUMNS
+from snapfold.plans.cycle import load_bronze, load_silver, run_cycle
+from snapfold.schemas import KEY, SNAPSHOT_COLUMNS
 from snapfold.session import configure, scratch_dir
 from snapfold.sources.lake import Lake
 from snapfold.sources.snapshot import read_snapshot
@@ -285,6 +285,17 @@ def new_lake(spark: SparkSession, name: str) -> Lake:
     return Lake(spark, root, prefix=f"{name}_")
 
 
+def initial_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first state: dirty files through the raw table into the keyed one."""
+    path = _roster_files(spark, sf_dir, "initial_silver_files")
+    lake = new_lake(spark, "initial_silver")
+    load_bronze(lake, path)
+    raw = lake.table("bronze.employees")
+    check_key(raw, KEY)
+    load_silver(lake, conform_employees(raw, inputs.GOLD_AS_OF), as_of=inputs.GOLD_AS_OF)
+    return shown(lake.table("silver.employees"))
+
+
 def _two_cycles(spark: SparkSession, sf_dir: str, name: str) -> Lake:
     """The earlier and then the later order snapshot, as files, through all layers."""
     lake = new_lake(spark, name)
@@ -356,6 +367,7 @@ QUERIES: dict[str, Query] = {
         department_kpi,
         hiring_trends,
         gold_after_cdc,
+        initial_silver,
         cycle_silver,
         cycle_department_kpi,
         cycle_hiring_trends,

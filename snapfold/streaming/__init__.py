@@ -1,0 +1 @@
+"""Cycles driven by arriving snapshots."""
