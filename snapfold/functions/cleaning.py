@@ -107,9 +107,8 @@ def _other_digits() -> tuple[str, str]:
 
 
 def salary_or_null(number: Column) -> Column:
-    in_ascii = F.when(number.rlike("^[0-9]+$"), number).otherwise(
-        F.translate(number, *_other_digits())
-    )
+    is_ascii = F.length(number) == F.octet_length(number)
+    in_ascii = F.when(is_ascii, number).otherwise(F.translate(number, *_other_digits()))
     return F.when(number != "", in_ascii).cast("int")
 
 

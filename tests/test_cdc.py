@@ -224,3 +224,67 @@ def test_key_report_and_check(spark):
     many = spark.range(1000).union(spark.range(1000))
     with pytest.raises(KeyViolation, match=r"\.\.\.$"):
         check_key(many, "id")
+
+
+def in_a_database(incoming, current, as_of):
+    """The three statements as real DML on keyed tables, one after the other."""
+    import duckdb
+
+    con = duckdb.connect()
+    types = ", ".join(
+        f"{n} {t}{' PRIMARY KEY' if n == 'employee_id' else ''}"
+        for n, t in schemas.SILVER_EMPLOYEES
+    )
+    for table, content in (("incoming", incoming), ("state", current)):
+        con.execute(f"CREATE TABLE {table} ({types})")
+        con.executemany(f"INSERT INTO {table} VALUES ({', '.join('?' * 13)})", content)
+    tests = " OR ".join(f"n.{c} IS DISTINCT FROM o.{c}" for c in cdc.EMPLOYEES.compare)
+    con.execute(f"""CREATE VIEW changes AS
+        SELECT coalesce(n.employee_id, o.employee_id) AS k,
+               CASE WHEN o.employee_id IS NULL THEN 'I' WHEN n.employee_id IS NULL THEN 'D'
+                    WHEN {tests} THEN 'U' END AS action, n.*
+        FROM incoming n FULL JOIN state o ON n.employee_id = o.employee_id""")
+    con.execute(f"""INSERT INTO state BY NAME SELECT * EXCLUDE (k, action)
+        REPLACE (DATE '{as_of}' AS joining_date, NULL AS termination_date,
+                 DATE '{as_of}' AS updated_at) FROM changes WHERE action = 'I'""")
+    taken = ", ".join(f"{c} = v.{c}" for c in cdc.EMPLOYEES.apply)
+    con.execute(f"""UPDATE state SET {taken}, updated_at = DATE '{as_of}', termination_date =
+        CASE WHEN v.status = 'Terminated' AND state.status <> 'Terminated' THEN DATE '{as_of}'
+             WHEN v.status = 'Active' THEN NULL ELSE state.termination_date END
+        FROM changes v WHERE state.employee_id = v.k AND v.action = 'U'""")
+    con.execute("DELETE FROM state WHERE employee_id IN (SELECT k FROM changes WHERE action = 'D')")
+    return sorted(con.execute("SELECT * FROM state").fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_single_pass_equals_database_statements(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+
+    def snapshot():
+        pick = lambda *values: rng.choice(values)
+        return [
+            row(
+                key,
+                first_name=pick("F", "G", "", None),
+                last_name=pick("L", "L", None),
+                department=pick("d1", "d1", "d2", None),
+                email=pick("e1", "e2", None),
+                phone=pick("1", None),
+                status=pick("Active", "Terminated", "Leave", None),
+                salary=pick(100, 200, None),
+                joining_date=pick(D(2020, 1, 1), None),
+                termination_date=pick(D(2021, 1, 1), None),
+                status_flag=pick(True, False),
+                address=pick("x", None),
+            )
+            for key in range(400)
+            if rng.random() < 0.8
+        ]
+
+    incoming, current = snapshot(), snapshot()
+    got = cdc.apply_changes(
+        spark.createDataFrame(incoming, SCHEMA), spark.createDataFrame(current, SCHEMA), as_of=T
+    )
+    assert rows(got) == in_a_database(incoming, current, T)
