@@ -92,6 +92,10 @@ def _require(condition: Column, value: Column, message: str) -> Column:
     return F.when(condition, value).otherwise(F.raise_error(F.lit(message)).cast("string"))
 
 
+def _line_breaks(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+
+
 def _read_whole_files(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
     rows = (
         spark.read.options(
@@ -180,6 +184,7 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         "is_header",
         F.from_csv("text", _text_schema([*header, _SURPLUS]), _CSV).alias("row"),
         (F.col("text") == "").alias("is_blank"),
+        _line_breaks(F.col("text")).alias("line_breaks"),
     )
     same_header = F.to_json("row") == F.to_json(
         F.struct(*[F.lit(name).alias(name) for name in header])
@@ -194,8 +199,15 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         )
         .otherwise(True)
     )
+    # A quote inside an unquoted field puts lines together that do not belong together;
+    # what follows the first of them would be lost.
+    values = F.concat_ws("", *[F.col("row")[c] for c in header])
+    is_record = (F.col("line_breaks") == 0) | (F.col("line_breaks") == _line_breaks(values))
     fits = F.col("row")[_SURPLUS].isNull()
     first = _require(fits, F.col("row")[header[0]], "snapshot row with too many fields")
+    first = _require(
+        is_record, first, "snapshot with unquoted quotes (a quote is missing?)"
+    )
     return parsed.where(is_body).select(
         first.alias(header[0]), *[F.col("row")[c].alias(c) for c in header[1:]]
     )

@@ -158,3 +158,31 @@ def test_lost_quote_is_reported(spark, tmp_path, split_bytes, monkeypatch):
     split_bytes(300)
     with pytest.raises(PySparkException, match="quote is missing"):
         read_snapshot(spark, str(path), in_splits=True).collect()
+
+
+@pytest.mark.parametrize("stray", [[3], [5, 6], [0, 19], [2, 9, 11]])
+def test_stray_quotes_do_not_lose_lines(spark, tmp_path, stray):
+    """Whole files keep them as they are; reading in splits refuses them."""
+    lines = [f"{i},a,b,c,d,e,f,1,2020-01-01,,x" for i in range(20)]
+    for i in stray:
+        lines[i] = lines[i].replace(",c,", ',5" pipe,')
+    path = tmp_path / "a.csv"
+    path.write_text("\n".join([",".join(COLUMNS), *lines]) + "\n")
+    got = read_snapshot(spark, str(path), in_splits=False)
+    assert got.count() == 20
+    assert got.where("department = '5\" pipe'").count() == len(stray)
+    with pytest.raises(PySparkException, match="quote is missing|too many fields"):
+        read_snapshot(spark, str(path), in_splits=True).collect()
+
+
+@MODES
+def test_byte_order_mark_and_compression(spark, tmp_path, in_splits):
+    import gzip
+
+    text = ",".join(COLUMNS) + "\n1," + ",".join("a" * 10) + "\n"
+    plain, packed = tmp_path / "a.csv", tmp_path / "b.csv.gz"
+    plain.write_bytes(b"\xef\xbb\xbf" + text.encode())
+    packed.write_bytes(gzip.compress(text.encode()))
+    for path in (plain, packed):
+        got = rows(read_snapshot(spark, str(path), in_splits=in_splits))
+        assert got == [("1", *"aaaaaaaaaa")]
