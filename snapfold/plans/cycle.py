@@ -65,10 +65,11 @@ def load_silver(
     """Publish the next state from cleaned rows; returns the action counts.
 
     The first time there is nothing to compare with: the rows become the state.
-    Keys must have been checked.  The counts come from the task that writes the
+    Keys must have been checked, and the raw table they come from been published.  The counts come from the task that writes the
     rows, so that they need no second pass.
     """
     table = "silver.employees"
+    lake.fit_buckets(table, like="bronze.employees")
     if not lake.exists(table):
         lake.publish({table: lake.by_key(table, incoming)})
         return None

@@ -31,6 +31,9 @@ class Layout:
     bucket_by: str | None = None
 
 
+# Compressed size that a bucket should not exceed.
+BUCKET_BYTES = 256 * 1024 * 1024
+
 LAYOUTS = {
     "bronze.employees": Layout(schemas.BRONZE_EMPLOYEES),
     "silver.employees": Layout(schemas.SILVER_EMPLOYEES, bucket_by=schemas.KEY),
@@ -43,8 +46,8 @@ class Lake:
     """Tables under ``root``, readable as ``<prefix>bronze.employees`` and so on.
 
     ``buckets`` is the number of files keyed tables are hashed into; joins on the
-    key then read them without a shuffle.  Aim at a few hundred MB per bucket; it
-    defaults to ``spark.sql.shuffle.partitions``.
+    key then read them without a shuffle.  If it is not given, tables start with
+    ``spark.sql.shuffle.partitions`` buckets and ``fit_buckets`` adds to them.
     """
 
     def __init__(
@@ -58,7 +61,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.fixed_buckets = buckets
         self.layouts = layouts or LAYOUTS
         configure(spark)
         for database in sorted({name.split(".")[0] for name in self.layouts}):
@@ -67,6 +70,7 @@ class Lake:
                 f"LOCATION '{self.root}/{database}'"
             )
         self._published: dict[str, tuple[str, int]] = {}
+        self._fitted: dict[str, int] = {}
         self._version = 0
         for row in self._latest():
             self._version = max(self._version, row.version)
@@ -128,7 +132,7 @@ class Lake:
     def _write(self, version: int, table: str, rows: DataFrame) -> tuple[int, str, str, int]:
         """Insert the rows into a new folder; returns its entry for the commit."""
         layout = self.layouts[table]
-        buckets = self.buckets if layout.bucket_by else 0
+        buckets = self.buckets_of(table) if layout.bucket_by else 0
         path = f"{self.root}/{table.replace('.', '/')}/v{version:08d}-{uuid.uuid4().hex[:8]}"
         pending = f"{table}__v{version}"
         self._create(pending, layout, path, buckets)
@@ -151,7 +155,31 @@ class Lake:
 
     def by_key(self, table: str, rows: DataFrame) -> DataFrame:
         """``rows`` shuffled the way ``table`` is bucketed: one file per bucket."""
-        return rows.repartition(self.buckets, self.layouts[table].bucket_by)
+        return rows.repartition(self.buckets_of(table), self.layouts[table].bucket_by)
+
+    def buckets_of(self, table: str) -> int:
+        """The number of buckets of the next version of a keyed table."""
+        if self.fixed_buckets:
+            return self.fixed_buckets
+        if table in self._fitted:
+            return self._fitted[table]
+        if table in self._published:
+            return self._published[table][1]
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def fit_buckets(self, table: str, like: str) -> int:
+        """Let a keyed table have buckets enough for the size of another published one.
+
+        Their number is only ever doubled: what a task holds of the present buckets
+        then goes to a few whole new ones, without another shuffle.
+        """
+        file_system, at = self._files(self._published[like][0])
+        n_bytes = file_system.getContentSummary(at).getLength()
+        buckets = self.buckets_of(table)
+        while not self.fixed_buckets and n_bytes > buckets * BUCKET_BYTES:
+            buckets *= 2
+        self._fitted[table] = buckets
+        return buckets
 
     def history(self) -> DataFrame:
         """All commits, by version and table."""

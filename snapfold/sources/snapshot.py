@@ -78,9 +78,12 @@ def _largest_file(spark: SparkSession, paths: list[str]) -> int:
 
 
 def _count_splits(spark: SparkSession, paths: list[str]) -> int:
-    """At most; a file has one split more than it fills."""
+    """An upper bound: full splits and the rest of each file, or more splits than
+    that, so that every core gets one."""
     splits = F.floor(F.col("length") / _split_bytes(spark)) + 1
-    return _file_lengths(spark, paths).agg(F.sum(splits)).first()[0] or 0
+    by_size = _file_lengths(spark, paths).agg(F.sum(splits)).first()[0] or 0
+    wanted = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    return by_size + int(wanted or spark.sparkContext.defaultParallelism)
 
 
 def _text_schema(columns: Sequence[str]) -> str:

@@ -127,7 +127,35 @@ def test_keyed_tables_are_not_shuffled_again(spark, lake):
         lake.publish({STATE: cdc.apply_changes(rows, current, as_of=D)})
         # Still one file per bucket, without another shuffle.
         newest = sorted(glob.glob(f"{lake.root}/silver/employees/v*"))[-1]
-        assert len(glob.glob(f"{newest}/*.parquet")) == lake.buckets
+        assert len(glob.glob(f"{newest}/*.parquet")) == lake.buckets_of(STATE)
         assert keys(lake) == list(range(100))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_buckets_grow_with_the_data_without_another_shuffle(spark, tmp_path, monkeypatch):
+    import glob
+
+    from snapfold.sources import lake as module
+
+    monkeypatch.setattr(module, "BUCKET_BYTES", 300)
+    layouts = {"silver.small": Layout((("employee_id", "INT"),)), STATE: LAYOUTS[STATE]}
+    lake = Lake(spark, str(tmp_path), prefix="grow_", layouts=layouts)
+    assert lake.buckets_of(STATE) == 4
+    rows = state(spark, range(1000), first_name="a")
+    lake.publish({STATE: lake.by_key(STATE, rows), "silver.small": rows.repartition(1)})
+    wanted = lake.fit_buckets(STATE, like="silver.small")
+    assert wanted in (8, 16, 32)
+    incoming = state(spark, range(500, 1500), first_name="b")
+    lake.publish({STATE: cdc.apply_changes(incoming, lake.table(STATE), as_of=D)})
+    newest = sorted(glob.glob(f"{lake.root}/silver/employees/v*"))[-1]
+    assert len(glob.glob(f"{newest}/*.parquet")) == wanted
+    assert keys(lake) == list(range(500, 1500))
+    again = Lake(spark, lake.root, prefix="grown_", layouts=layouts)
+    assert again.buckets_of(STATE) == wanted and keys(again) == keys(lake)
+    assert Lake(spark, lake.root, prefix="set_", buckets=5).fit_buckets(STATE, like=STATE) == 5
+    # All rows of a key are in one bucket, and only there.
+    per_file = spark.read.parquet(newest).select("employee_id", F.input_file_name().alias("f"))
+    assert per_file.groupBy("employee_id").agg(F.count_distinct("f").alias("n")).where("n > 1").count() == 0
+    joined = again.table(STATE).join(again.table(STATE).alias("x"), "employee_id", "full_outer")
+    assert joined.count() == 1000
