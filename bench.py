@@ -27,7 +27,7 @@ HEADLINE = (
     "clean_phone_text",
     "clean_address_text",
     "conform",
-    "key_report",
+    "key_violations",
     "cdc_classify",
     "cdc_counts",
     "cdc_apply",

@@ -17,6 +17,7 @@ from snapfold.sources.snapshot import read_snapshot
 
 logger = logging.getLogger(__name__)
 
+SILVER = "silver.employees"
 STAGING_VIEW = "tmp_employees"
 CHANGES_VIEW = "employees_cdc_view"
 
@@ -56,34 +57,52 @@ def load_bronze(lake: Lake, path: str | list[str], in_splits: bool | None = None
     return seen.get["n"]
 
 
-def load_silver(
+def stage_incoming(lake: Lake, as_of: dt.date | str | None = None) -> DataFrame:
+    """The cleaned rows of the raw table, also as a temporary view; aborts on bad keys."""
+    raw = lake.table("bronze.employees")
+    check_key(raw, schemas.KEY)
+    incoming = conform_employees(raw, as_of)
+    incoming.createOrReplaceTempView(STAGING_VIEW)
+    return incoming
+
+
+def refresh_silver(lake: Lake, incoming: DataFrame) -> None:
+    """Make the cleaned rows the state, whatever it was."""
+    lake.fit_buckets(SILVER, like="bronze.employees")
+    lake.publish({SILVER: lake.by_key(SILVER, incoming)})
+
+
+def show_changes(
+    lake: Lake, incoming: DataFrame, rules: cdc.ChangeRules = cdc.EMPLOYEES
+) -> DataFrame:
+    """The classified changes of the published state, also as a temporary view."""
+    changes = cdc.classify(incoming, lake.table(SILVER), rules)
+    changes.createOrReplaceTempView(CHANGES_VIEW)
+    return changes
+
+
+def update_silver(
     lake: Lake,
     incoming: DataFrame,
     rules: cdc.ChangeRules = cdc.EMPLOYEES,
     as_of: dt.date | str | None = None,
-) -> dict[str, int] | None:
-    """Publish the next state from cleaned rows; returns the action counts.
+) -> dict[str, int]:
+    """Apply the changes to the published state; returns how many there were of a kind.
 
-    The first time there is nothing to compare with: the rows become the state.
-    Keys must have been checked, and the raw table they come from been published.  The counts come from the task that writes the
-    rows, so that they need no second pass.
+    The counts come from the tasks that write the rows, so they need no second pass.
     """
-    table = "silver.employees"
-    lake.fit_buckets(table, like="bronze.employees")
-    if not lake.exists(table):
-        lake.publish({table: lake.by_key(table, incoming)})
-        return None
+    lake.fit_buckets(SILVER, like="bronze.employees")
     counts = Observation()
-    current = lake.table(table)
-    settled = cdc.settle(incoming, current, rules, as_of).observe(counts, *cdc.count_actions())
-    lake.publish({table: cdc.drop_deleted(settled)})
+    settled = cdc.settle(incoming, lake.table(SILVER), rules, as_of)
+    settled = settled.observe(counts, *cdc.count_actions())
+    lake.publish({SILVER: cdc.drop_deleted(settled)})
     return counts.get
 
 
 def load_gold(lake: Lake, as_of: dt.date | str | None = None) -> tuple[int, int]:
     """Replace both aggregate tables in one commit, from one scan of the state."""
     # One row per department, year and flag.
-    tallies = gold.shared_tally(lake.table("silver.employees"), as_of).persist()
+    tallies = gold.shared_tally(lake.table(SILVER), as_of).persist()
     try:
         kpi, trends = gold.gold_tables(tallies, as_of)
         seen_kpi, seen_trends = Observation(), Observation()
@@ -105,33 +124,35 @@ def run_cycle(
     as_of: dt.date | str | None = None,
     rules: cdc.ChangeRules = cdc.EMPLOYEES,
     in_splits: bool | None = None,
+    keep: int | None = None,
 ) -> CycleReport:
     """Take in one full snapshot and bring every table up to date.
 
     ``as_of`` is the one "today" of the cycle.  A failure leaves the tables as the
     last commit left them and is raised; running the same cycle again is safe.
+    With ``keep``, all but the last so many versions of the tables are deleted.
     """
     as_of = as_of or lake.spark.sql("SELECT current_date()").first()[0]
-    spark = lake.spark
     logger.info("cycle started: %s as of %s", path, as_of)
     try:
         rows = load_bronze(lake, path, in_splits)
         logger.info("bronze: %d rows", rows)
 
-        raw = lake.table("bronze.employees")
-        check_key(raw, schemas.KEY)
-        incoming = conform_employees(raw, as_of)
-        incoming.createOrReplaceTempView(STAGING_VIEW)
-        initial = not lake.exists("silver.employees")
-        if not initial:
-            current = lake.table("silver.employees")
-            cdc.classify(incoming, current, rules).createOrReplaceTempView(CHANGES_VIEW)
-        counts = load_silver(lake, incoming, rules, as_of) or {}
-        spark.catalog.dropTempView(STAGING_VIEW)
-        logger.info("silver: %s", counts or "initial load")
+        incoming = stage_incoming(lake, as_of)
+        initial = not lake.exists(SILVER)
+        counts = {}
+        if initial:
+            refresh_silver(lake, incoming)
+        else:
+            show_changes(lake, incoming, rules)
+            counts = update_silver(lake, incoming, rules, as_of)
+        lake.spark.catalog.dropTempView(STAGING_VIEW)
+        logger.info("silver: %s", "initial load" if initial else counts)
 
         departments, years = load_gold(lake, as_of)
         logger.info("gold: %d departments, %d years", departments, years)
+        if keep:
+            logger.info("%d old folders deleted", lake.expire(keep))
     except Exception:
         logger.exception("cycle failed: %s as of %s", path, as_of)
         raise

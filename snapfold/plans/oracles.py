@@ -297,7 +297,7 @@ FROM (SELECT page_id, split_part(split_part(url, '://', 2), '/', 1) AS host FROM
     "clean_address": _ctes(RAW) + f"SELECT employee_id, {_address('address')} AS address FROM raw",
     "clean_address_text": f"SELECT doc_id, {_address('text')} AS address FROM documents",
     "conform": _ctes(RAW) + _shown_state(_conformed("raw", inputs.GOLD_AS_OF)),
-    "key_report": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+    "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber
 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
     "cdc_classify": _ctes(PAIR, CHANGES) + _CLASSIFIED,

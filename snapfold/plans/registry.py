@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapfold.functions import cleaning
 from snapfold.functions.fingerprint import row_fingerprint, row_text
 from snapfold.functions.numeric import rounded_mean
-from snapfold.operators import cdc, gold
+from snapfold.operators import cdc, gold, keys
 from snapfold.operators.conform import conform_employees, normalise_nulls
-from snapfold.operators.keys import check_key, key_violations
 from snapfold.plans import inputs
-from snapfold.plans.cycle import load_bronze, load_silver, run_cycle
-from snapfold.schemas import KEY, SNAPSHOT_COLUMNS
+from snapfold.plans.cycle import load_bronze, refresh_silver, run_cycle, stage_incoming
+from snapfold.schemas import SNAPSHOT_COLUMNS
 from snapfold.session import configure, scratch_dir
 from snapfold.sources.lake import Lake
 from snapfold.sources.snapshot import read_snapshot
@@ -161,10 +160,9 @@ def conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- keys and changes ------------------------------------------------------------
 
 
-def key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_violations(
-        inputs.table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber"
-    )
+def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = inputs.table(spark, sf_dir, "lineitem")
+    return keys.key_violations(lineitem, "l_orderkey", "l_linenumber")
 
 
 def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -290,9 +288,7 @@ def initial_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _roster_files(spark, sf_dir, "initial_silver_files")
     lake = new_lake(spark, "initial_silver")
     load_bronze(lake, path)
-    raw = lake.table("bronze.employees")
-    check_key(raw, KEY)
-    load_silver(lake, conform_employees(raw, inputs.GOLD_AS_OF), as_of=inputs.GOLD_AS_OF)
+    refresh_silver(lake, stage_incoming(lake, inputs.GOLD_AS_OF))
     return shown(lake.table("silver.employees"))
 
 
@@ -349,7 +345,7 @@ QUERIES: dict[str, Query] = {
         clean_address,
         clean_address_text,
         conform,
-        key_report,
+        key_violations,
         cdc_classify,
         cdc_counts,
         cdc_fingerprint,

@@ -186,13 +186,25 @@ class Lake:
         return self._commits().orderBy("version", "table_name")
 
     def expire(self, keep: int = 1) -> int:
-        """Delete the folders of all but the last ``keep`` versions of every table."""
+        """Delete all folders but those of the last ``keep`` versions of every table.
+
+        That includes folders of publishes that failed before their commit.
+        Returns the number of folders deleted.
+        """
         age = F.row_number().over(Window.partitionBy("table_name").orderBy(F.desc("version")))
-        old = self._commits().select("path", age.alias("age")).where(F.col("age") > keep).collect()
+        kept = (
+            self._commits()
+            .select("table_name", "path", age.alias("age"))
+            .where(F.col("age") <= keep)
+            .collect()
+        )
+        names = {(row.table_name, row.path.rsplit("/", 1)[1]) for row in kept}
         deleted = 0
-        for row in old:
-            file_system, at = self._files(row.path)
-            deleted += file_system.delete(at, True)
+        for table in {row.table_name for row in kept}:
+            file_system, at = self._files(f"{self.root}/{table.replace('.', '/')}")
+            for folder in file_system.listStatus(at):
+                if (table, folder.getPath().getName()) not in names:
+                    deleted += file_system.delete(folder.getPath(), True)
         return deleted
 
     def _create(self, table: str, layout: Layout, path: str, buckets: int) -> None:

@@ -139,3 +139,43 @@ def test_missing_snapshot(spark, lake, tmp_path):
     with pytest.raises(FileNotFoundError):
         run_cycle(lake, str(tmp_path / "none.csv"), "2025-01-01")
     assert not lake.exists("bronze.employees")
+
+
+def test_steps_by_themselves(spark, lake, tmp_path):
+    assert cycle.load_bronze(lake, write(tmp_path / "1.csv", ANN, BOB)) == 2
+    cycle.refresh_silver(lake, cycle.stage_incoming(lake, "2025-01-01"))
+    cycle.load_bronze(lake, write(tmp_path / "2.csv", ANN, CAT))
+    incoming = cycle.stage_incoming(lake, "2025-01-02")
+    assert spark.table(cycle.STAGING_VIEW).count() == 2
+    changes = {r.employee_id: r.cdc_action for r in cycle.show_changes(lake, incoming).collect()}
+    assert changes == {1: "NO_CHANGE", 2: "DELETE", 3: "INSERT"}
+    counts = cycle.update_silver(lake, incoming, as_of="2025-01-02")
+    assert counts == {"INSERT": 1, "UPDATE": 0, "DELETE": 1, "NO_CHANGE": 1}
+    assert cycle.load_gold(lake, "2025-01-02") == (1, 2)  # the flagged row is no KPI
+    # A refresh takes the rows as they are, without regard to the state.
+    cycle.refresh_silver(lake, incoming)
+    dates = {r.employee_id: r.joining_date for r in lake.table("silver.employees").collect()}
+    assert dates == {1: dt.date(2020, 1, 1), 3: None}
+
+
+def test_old_versions_are_deleted_on_demand(lake, tmp_path):
+    import glob
+
+    path = write(tmp_path / "1.csv", ANN, BOB)
+    for day in ("2025-01-01", "2025-01-02", "2025-01-03"):
+        run_cycle(lake, path, day, keep=1)
+    for table in lake.layouts:
+        assert len(glob.glob(f"{lake.root}/{table.replace('.', '/')}/v*")) == 1
+    assert lake.table("silver.employees").count() == 2
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from snapfold.__main__ import main
+
+    path = write(tmp_path / "1.csv", ANN, BOB)
+    root = str(tmp_path / "lake")
+    for day in ("2025-01-01", "2025-01-02"):
+        main([path, root, "--as-of", day, "--prefix", "cli_", "--buckets", "3"])
+    reports = capsys.readouterr().out.splitlines()
+    assert len(reports) == 2 and "initial=True" in reports[0] and "unchanged=2" in reports[1]
+    assert spark.table("cli_silver.employees").count() == 2

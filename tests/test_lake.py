@@ -103,14 +103,22 @@ def test_stale_readers_keep_their_version(spark, lake):
     assert [r.employee_id for r in before.collect()] == [1]
 
 
-def test_expire_keeps_the_last_versions(spark, lake):
+def test_expire_keeps_the_last_versions(spark, lake, monkeypatch):
     import glob
 
+    def die(*_):
+        raise KeyboardInterrupt
+
     for key in (1, 2, 3):
         lake.publish({STATE: state(spark, [key])})
     assert lake.expire(keep=2) == 1
     assert len(glob.glob(f"{lake.root}/silver/employees/v*")) == 2
     assert lake.expire(keep=2) == 0
+    monkeypatch.setattr(lake, "_commit", die)
+    with pytest.raises(KeyboardInterrupt):
+        lake.publish({STATE: state(spark, [4])})
+    assert len(glob.glob(f"{lake.root}/silver/employees/v*")) == 3
+    assert lake.expire(keep=1) == 2
     assert keys(lake) == [3]
 
 
