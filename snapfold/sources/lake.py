@@ -77,11 +77,9 @@ class Lake:
             self._point(row.table_name, row.path, row.buckets)
 
     def _commits(self) -> DataFrame:
-        path = f"{self.root}/commits"
-        file_system, at = self._files(path)
-        if not file_system.exists(at):
+        if not self._version:
             return self.spark.createDataFrame([], _COMMIT)
-        return self.spark.read.schema(_COMMIT).parquet(path)
+        return self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits")
 
     def _files(self, path: str):
         """The Hadoop file system of a path, and the path for it."""
@@ -90,9 +88,14 @@ class Lake:
 
     def _latest(self) -> list:
         """The last committed folder of every table (one row per table)."""
+        path = f"{self.root}/commits"
+        file_system, at = self._files(path)
+        if not file_system.exists(at):
+            return []
         latest = F.max_by(F.struct("path", "buckets"), "version")
         return (
-            self._commits()
+            self.spark.read.schema(_COMMIT)
+            .parquet(path)
             .groupBy("table_name")
             .agg(F.max("version").alias("version"), latest.alias("at"))
             .select("table_name", "version", "at.*")
@@ -145,13 +148,20 @@ class Lake:
 
     def _commit(self, entries: list[tuple[int, str, str, int]]) -> None:
         """Append one file, which appears as a whole or not at all."""
-        (
-            self.spark.createDataFrame(entries, _COMMIT.rsplit(",", 1)[0])
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root}/commits")
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(version).cast("bigint").alias("version"),
+                    F.lit(table).alias("table_name"),
+                    F.lit(path).alias("path"),
+                    F.lit(buckets).alias("buckets"),
+                    F.current_timestamp().alias("committed_at"),
+                )
+                for version, table, path, buckets in entries
+            ]
         )
+        one = self.spark.range(0, 1, 1, numPartitions=1)
+        one.select(F.inline(rows)).write.mode("append").parquet(f"{self.root}/commits")
 
     def by_key(self, table: str, rows: DataFrame) -> DataFrame:
         """``rows`` shuffled the way ``table`` is bucketed: one file per bucket."""
