@@ -95,7 +95,11 @@ def update_silver(
     counts = Observation()
     settled = cdc.settle(incoming, lake.table(SILVER), rules, as_of)
     settled = settled.observe(counts, *cdc.count_actions())
-    lake.publish({SILVER: cdc.drop_deleted(settled)})
+    state = cdc.drop_deleted(settled)
+    if not lake.keeps_buckets(SILVER):
+        # Someone set another number of buckets: shuffle, or each task writes to all.
+        state = lake.by_key(SILVER, state)
+    lake.publish({SILVER: state})
     return counts.get
 
 

@@ -177,6 +177,10 @@ class Lake:
             return self._published[table][1]
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def keeps_buckets(self, table: str) -> bool:
+        """Whether every present bucket goes to whole buckets of the next version."""
+        return self.buckets_of(table) % self._published[table][1] == 0
+
     def fit_buckets(self, table: str, like: str) -> int:
         """Let a keyed table have buckets enough for the size of another published one.
 

@@ -69,8 +69,14 @@ def _split_bytes(spark: SparkSession) -> int:
 
 
 def _file_lengths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """From the file listing; contents are not read."""
-    return spark.read.format("binaryFile").load(paths).select("length")
+    """From the file listing; contents are not read.
+
+    Looked up in a session of its own, where tasks are not sized by contents: each
+    takes many files.
+    """
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionBytes", f"{2**60}b")
+    return listing.read.format("binaryFile").load(paths).select("length")
 
 
 def _largest_file(spark: SparkSession, paths: list[str]) -> int:

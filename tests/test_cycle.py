@@ -169,6 +169,20 @@ def test_old_versions_are_deleted_on_demand(lake, tmp_path):
     assert lake.table("silver.employees").count() == 2
 
 
+def test_another_number_of_buckets(spark, tmp_path):
+    import glob
+
+    people = [changed(ANN, employee_id=str(i)) for i in range(200)]
+    path = write(tmp_path / "1.csv", *people)
+    root = str(tmp_path / "lake")
+    for day, buckets in (("2025-01-01", 4), ("2025-01-02", 7), ("2025-01-03", 14)):
+        lake = Lake(spark, root, prefix="rebucket_", buckets=buckets)
+        report = run_cycle(lake, path, day, keep=1)
+        assert report.unchanged == (0 if day == "2025-01-01" else 200)
+        assert len(glob.glob(f"{root}/silver/employees/v*/*.parquet")) == buckets
+        assert lake.table("silver.employees").count() == 200
+
+
 def test_command_line(spark, tmp_path, capsys):
     from snapfold.__main__ import main
 
