@@ -12,12 +12,11 @@ def spark(tmp_path_factory):
     from snapfold.session import local_session
 
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    scratch = str(tmp_path_factory.mktemp("scratch"))
     session = local_session(
         4,
         shuffle_partitions=4,
         memory="4g",
-        extra={"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": scratch},
+        extra={"spark.sql.warehouse.dir": warehouse},
     )
     yield session
     session.stop()
