@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from snapfold.plans.oracles import ORACLES
+from snapfold.plans.registry import QUERIES
 from tests.compare import compare, connect
 
 
@@ -12,10 +14,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, queries()[name], oracle_sql()[name]) is None
 
