@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import chat, linededup, mixing, packing, tokenfiles
+from snapfold.llm import chat, jaccard, language, linededup, mixing, neighbours, packing, quality, tokenfiles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,20 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op4_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -29,6 +43,13 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = f"{chat.CLOSE}{chat.ROLE} ok {chat.SAID}"
     extra = spark.range(2).select(
@@ -54,8 +75,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_language_id": op2_language_id,
+    "op4_projection_forest": op4_projection_forest,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_source_mixing": op6_source_mixing,
+    "op7_weak_supervision": op7_weak_supervision,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
