@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import chat, jaccard, language, linededup, mixing, neighbours, packing, quality, tokenfiles
+from snapfold.llm import chat, jaccard, language, linededup, mixing, neighbours, packing, quality, substrings, tokenfiles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 def tokenizer_path(name: str) -> str:
     """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers
@@ -77,6 +84,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_language_id": op2_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_projection_forest": op4_projection_forest,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_source_mixing": op6_source_mixing,
