@@ -213,11 +213,12 @@ def matches(distinct: DataFrame, window: int, shard_words: int) -> DataFrame:
     ordered = dealt.repartition("first", "shard").sortWithinPartitions("first", "shard", "guest", "doc", "digest")
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64()), ("holder", pa.int64())]))
 
-    def runs_of(found: np.ndarray) -> list[dict]:
+    def runs_of(found: np.ndarray, docs: list[int]) -> list[dict]:
+        """Runs of windows with the same holder, who comes as a number in `docs` or -1."""
         borders = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
         ends = np.append(borders[1:], len(found))
         return [
-            {"from": b, "to": e, "holder": h}
+            {"from": b, "to": e, "holder": docs[h]}
             for b, e, h in zip(borders.tolist(), ends.tolist(), found[borders].tolist(), strict=True) if h >= 0
         ]
 
@@ -232,9 +233,7 @@ def matches(distinct: DataFrame, window: int, shard_words: int) -> DataFrame:
         key, automaton, numbers, docs, waiting = None, None, {}, [], []
 
         def stream(digest: bytes, words: list[int]) -> tuple[bytes, list[dict]]:
-            found = np.array(automaton.windows(words, window), dtype=np.int64)
-            found[found >= 0] = np.array(docs, dtype=np.int64)[found[found >= 0]]
-            return digest, runs_of(found)
+            return digest, runs_of(np.array(automaton.windows(words, window), dtype=np.int64), docs)
 
         for batch in batches:
             for first, shard, guest, doc, digest, raw in zip(*(batch.column(c) for c in range(6)), strict=True):
