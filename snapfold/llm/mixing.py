@@ -45,7 +45,8 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights=WEIGHTS, copi
     `copies` times a source's size stop there and the excess is shared by weight, until
     none is above: the share per unit of weight rises to the level where the capped
     sources and the rest together use the budget.  Sorted by cap / weight, the capped
-    sources are a prefix, so the level is read off running sums over the sources.
+    sources are a prefix.  The level is that of the first source behind it; of later ones, before
+    which sources that are not capped would count as if they were, it is lower.
     """
     totals = sizes.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -62,7 +63,7 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights=WEIGHTS, copi
         fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
     capped = F.col("level") * F.col("weight") >= F.col("cap")
-    rest = F.min(F.when(~capped, F.col("level"))).over(every)
+    rest = F.max(F.when(~capped, F.col("level"))).over(every)
     return (
         totals.withColumn("budget", budget)
         .withColumn("level", level)

@@ -113,7 +113,7 @@ levels AS (
 targets AS (
   SELECT source, source_size,
     CASE WHEN level * weight >= cap THEN cap
-         ELSE (SELECT min(level) FROM levels WHERE level * weight < cap) * weight END AS target
+         ELSE (SELECT max(level) FROM levels WHERE level * weight < cap) * weight END AS target
   FROM levels),
 offered AS (
   SELECT doc_id, s.source, size, source_size, target,

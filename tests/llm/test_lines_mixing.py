@@ -96,6 +96,16 @@ def plain_targets(sizes):
             return target
 
 
+@pytest.mark.parametrize("sizes", [[20, 19, 18, 17], [5], [1, 100, 1, 100, 1, 100], [0, 0, 7], [50, 3, 3, 900, 2, 2, 2], [9] * 12])
+def test_targets(spark, sizes):
+    names = [f"s{i:02}" for i in range(len(sizes) - 1)] + [None]
+    rows = [(i, "w " * n, "en", s, 1) for i, (s, n) in enumerate(zip(names, sizes, strict=True))]
+    frame = documents(spark, rows).withColumn("size", F.size(F.split("text", " ")) - 1)
+    got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
+    assert got == pytest.approx(plain_targets(dict(zip(names, map(float, sizes), strict=True))))
+    assert sum(got.values()) == pytest.approx(1.5 * sum(sizes))
+
+
 @pytest.mark.parametrize("slot_rows", [1, 5, 2000])
 def test_mixing(spark, slot_rows):
     rows = ROWS + [(i, "word " * (i % 17), "en", "src%d" % (i % 5 if i % 3 else 0), 1) for i in range(200, 400)]
