@@ -5,7 +5,8 @@ The trees are fitted on a bounded sample (SAMPLE_ROWS rows at most, drawn by a h
 but every row is put into its leaf of every tree.  A query walks all trees at once through one
 priority queue of nodes, ordered by the squared margins by which it missed them, and takes
 the first leaves: LEAST_LEAVES and as many as hold about `share` of one tree's rows.  The
-candidates in those leaves are ranked exactly.
+candidates in those leaves are ranked exactly.  Sample rows in the leaves a query takes bound its
+k-th best score from below, so a block of rows hands on only what can be among the k best.
 
 Nearness is the largest inner product.  Trees are built for Euclidean nearness, so rows get
 one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm, and queries 0 there:
@@ -93,6 +94,15 @@ class Forest:
             yield found
 
 
+@dataclass(frozen=True)
+class Sample:
+    """The rows that the forest was fitted on, and their leaves in every tree."""
+
+    ids: np.ndarray
+    rows: np.ndarray
+    leaves: np.ndarray
+
+
 def grow(sample: np.ndarray, rows: int, trees: int, leaf_rows: int, scale: float, seed: int = 11) -> Forest:
     """A forest for a table of so many rows, fitted on the sample."""
     per_leaf = max(leaf_rows * len(sample) / max(rows, 1), 4)
@@ -125,9 +135,27 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _best(queries: tuple[np.ndarray, np.ndarray], rows: tuple[np.ndarray, np.ndarray], k: int):
-    """The k nearest rows of each query: query ids, row ids, scores."""
-    query_ids, q = queries
+def lower_bounds(ids: np.ndarray, queries: np.ndarray, found: list[list[tuple[int, int]]], sample: Sample, k: int) -> np.ndarray:
+    """Of each query a score that k other rows of its leaves reach, or -inf."""
+    scores = queries @ sample.rows.T
+    scores[ids[:, None] == sample.ids[None, :]] = -np.inf
+    out = np.full(len(ids), -np.inf)
+    trees = np.arange(sample.leaves.shape[1])
+    taken = np.zeros((len(trees), int(sample.leaves.max(initial=0)) + 1), dtype=bool)
+    for i, own in enumerate(found):
+        taken[:] = False
+        for t, leaf in own:
+            if leaf < taken.shape[1]:
+                taken[t, leaf] = True
+        held = scores[i, taken[trees, sample.leaves].any(axis=1)]
+        if len(held) >= k:
+            out[i] = np.partition(held, -k)[-k]
+    return out
+
+
+def _best(queries: tuple[np.ndarray, np.ndarray, np.ndarray], rows: tuple[np.ndarray, np.ndarray], k: int):
+    """The k nearest rows of each query that reach its bound: query ids, row ids, scores."""
+    query_ids, q, least = queries
     row_ids, r = rows
     for at in range(0, len(q), 512):
         ids, part = query_ids[at : at + 512], q[at : at + 512]
@@ -137,8 +165,10 @@ def _best(queries: tuple[np.ndarray, np.ndarray], rows: tuple[np.ndarray, np.nda
             bound = np.partition(rough, -k, axis=1)[:, -k]
         else:
             bound = np.full(len(part), -np.inf)
+        bound = np.maximum(bound, least[at : at + 512])
         # What rounding might lift into the first k comes along; the order is by exact sums.
-        a, b = np.nonzero((rough >= (bound - 1e-9 * (1 + np.abs(bound)))[:, None]) & (rough > -np.inf))
+        slack = np.where(np.isfinite(bound), 1e-9 * (1 + np.abs(bound)), 0.0)
+        a, b = np.nonzero((rough >= (bound - slack)[:, None]) & (rough > -np.inf))
         score = np.zeros(len(a))
         for d in range(part.shape[1]):
             score += part[a, d] * r[b, d]
@@ -177,14 +207,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     if not facts["rows"] or not facts["queries"]:
         return spark.createDataFrame([], empty)
     drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(0.95 * sample_rows / facts["rows"] * (1 << 30)))
-    chosen = good.where(drawn | F.lit(facts["rows"] <= sample_rows)).orderBy("id").limit(sample_rows).select("vector").collect()
-    forest = grow(np.array([r.vector for r in chosen]), facts["rows"], trees, leaf_rows, facts["scale"])
-    shared = spark.sparkContext.broadcast(forest)  # at most trees * sample_rows / 4 directions
+    chosen = good.where(drawn | F.lit(facts["rows"] <= sample_rows)).orderBy("id").limit(sample_rows).collect()
+    drawn_rows = np.array([r.vector for r in chosen])
+    forest = grow(drawn_rows, facts["rows"], trees, leaf_rows, facts["scale"])
+    sample = Sample(np.array([r.id for r in chosen]), drawn_rows, forest.leaves(drawn_rows))
+    # At most trees * sample_rows / 4 directions, and the sample.
+    shared = spark.sparkContext.broadcast((forest, sample))
     leaves = LEAST_LEAVES + round(share * 2**forest.depth)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shared.value.leaves(_matrix(batch.column("vector")))
+            found = shared.value[0].leaves(_matrix(batch.column("vector")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("vector"),
                  pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.int64()))],
@@ -195,13 +228,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = list(shared.value.search(_matrix(part.column("vector")), leaves))
+                ids, queries = part.column("id").to_numpy(), _matrix(part.column("vector"))
+                found = list(shared.value[0].search(queries, leaves))
+                least = lower_bounds(ids, queries, found, shared.value[1], k)
                 pairs = pa.array(
                     [[{"tree": t, "leaf": x} for t, x in own] for own in found],
                     pa.list_(pa.struct([("tree", pa.int64()), ("leaf", pa.int64())])),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("vector"), pairs], names=["id", "vector", "visits"]
+                    [part.column("id"), part.column("vector"), pa.array(least), pairs],
+                    names=["id", "vector", "least", "visits"],
                 )
 
     # Every row in its leaf of every tree; large leaves are cut into blocks of rows.
@@ -219,24 +255,23 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         .select("tree", "leaf", "row_block", "query_block", "id", "vector")
     )
     asked = named.where("is_query").select("id", "vector").mapInArrow(
-        visit, f"id long, vector {kind}, visits array<struct<tree: long, leaf: long>>"
+        visit, f"id long, vector {kind}, least double, visits array<struct<tree: long, leaf: long>>"
     )
     asked = (
-        asked.select("id", "vector", F.explode("visits").alias("visit"))
-        .select("id", "vector", F.col("visit.tree").cast("int").alias("tree"), F.col("visit.leaf").alias("leaf"))
+        asked.select("id", "vector", "least", F.explode("visits").alias("visit"))
+        .select("id", "vector", "least", F.col("visit.tree").cast("int").alias("tree"), F.col("visit.leaf").alias("leaf"))
         .join(sizes, ["tree", "leaf"])
         .withColumn("row_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("query_block", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
-        .select("tree", "leaf", "row_block", "query_block", "id", "vector")
+        .select("tree", "leaf", "row_block", "query_block", "id", "vector", "least")
     )
     key = ["tree", "leaf", "row_block", "query_block"]
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
         if left.num_rows and right.num_rows:
-            q, r = (
-                (t["id"].to_numpy(), _matrix(t["vector"].combine_chunks())) for t in (left, right)
-            )
+            q, r = ((t["id"].to_numpy(), _matrix(t["vector"].combine_chunks())) for t in (left, right))
+            q = (*q, left["least"].to_numpy())
             for found in _best(q, r, k):
                 for column, values in zip(out, found, strict=True):
                     column.append(values)
