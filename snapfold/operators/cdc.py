@@ -23,6 +23,8 @@ ACTION = "cdc_action"
 class ChangeRules:
     """Which columns identify, reveal and take over a change.
 
+    The defaults are fixed values: the columns of the employee tables.
+
     ``compare``  a difference here (NULL-safe) makes an UPDATE; others go unnoticed.
     ``apply``    taken from the incoming row on UPDATE; all others keep their value.
     ``started``  set to the as-of date on INSERT, whatever the snapshot says.
@@ -168,6 +170,39 @@ def apply_changes(
     return drop_deleted(settle(incoming, current, rules, as_of))
 
 
+def updated_rows(settled: DataFrame) -> DataFrame:
+    """The rows that have an UPDATE, as they are after it, from settled rows."""
+    return only(settled, UPDATE).drop(ACTION)
+
+
+def surviving_rows(
+    incoming: DataFrame, current: DataFrame, rules: ChangeRules = EMPLOYEES
+) -> DataFrame:
+    """The current rows whose key is not to be deleted, as they are, in one pass."""
+    paired = _paired(incoming, current, rules)
+    both = reduce(
+        lambda a, b: a & b, [_old(k).isNotNull() & _new(k).isNotNull() for k in rules.key]
+    )
+    return paired.where(both).select(*[_old(c).alias(c) for c in current.columns])
+
+
+def left_over(
+    incoming: DataFrame,
+    current: DataFrame,
+    rules: ChangeRules = EMPLOYEES,
+    as_of: dt.date | str | None = None,
+) -> DataFrame:
+    """Key and action of what detection finds after the changes were applied, in the same pass."""
+    today = as_of_column(as_of)
+    paired = _paired(incoming, current, rules).withColumn(ACTION, _action(rules))
+    after = [_settled(c, F.col(ACTION), rules, today) for c in rules.compare]
+    still = differs([_new(c) for c in rules.compare], after)
+    return paired.where(F.col(ACTION) != DELETE).select(
+        *[F.coalesce(_new(k), _old(k)).alias(k) for k in rules.key],
+        F.when(still, UPDATE).otherwise(NO_CHANGE).alias(ACTION),
+    )
+
+
 def apply_deletes(
     current: DataFrame, changes: DataFrame, rules: ChangeRules = EMPLOYEES
 ) -> DataFrame:

@@ -27,7 +27,9 @@ def normalise_nulls(df: DataFrame, tokens: tuple[str, ...] = schemas.NA_TOKENS)
     )
 
 
-def conform_employees(raw: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+def conform_employees(
+    raw: DataFrame, as_of: dt.date | str | None = None, key_type: str = "int"
+) -> DataFrame:
     """All cleaning rules at once, in silver column order.
 
     Department and status are copied as they are.  The steps become stacked
@@ -35,7 +37,7 @@ def conform_employees(raw: DataFrame, as_of: dt.date | str | None = None) -> Dat
     read, exactly once.
     """
     shaped = raw.select(
-        F.col("employee_id").cast("int").alias("employee_id"),
+        F.col("employee_id").cast(key_type).alias("employee_id"),
         cleaning.strip(F.col("first_name")).alias("first_name"),
         cleaning.strip(F.col("last_name")).alias("last_name"),
         "department",

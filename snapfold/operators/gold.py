@@ -18,7 +18,7 @@ from snapfold.operators.conform import as_of_column
 
 @dataclass(frozen=True)
 class KpiColumns:
-    """Which columns to group and measure; ``total_type`` bounds the cost total."""
+    """Which columns to group and measure; the types bound head counts and the cost total."""
 
     group: str = "department"
     status: str = "status"
@@ -28,10 +28,12 @@ class KpiColumns:
     flag: str = "status_flag"
     active: str = "Active"
     left: str = "Terminated"
-    total_type: str = "int"
+    count_type: str = "bigint"
+    total_type: str = "bigint"
 
 
-EMPLOYEES = KpiColumns()
+# The employee tables declare INT; larger values abort.
+EMPLOYEES = KpiColumns(count_type="int", total_type="int")
 
 YEAR = "hiring_year"
 
@@ -91,8 +93,8 @@ def kpi_from_tally(
     return (
         tallies.groupBy(c.group)
         .agg(
-            s["n"].cast("int").alias("total_employees"),
-            s["n_active"].cast("int").alias("active_employees"),
+            s["n"].cast(c.count_type).alias("total_employees"),
+            s["n_active"].cast(c.count_type).alias("active_employees"),
             rounded_mean(s["paid"], s["n_paid"], 2).cast("decimal(10,2)").alias("avg_salary"),
             s["cost"].cast(c.total_type).alias("total_salary_cost"),
             rounded_mean(s["days"], s["n_days"]).cast("int").alias("avg_tenure_days"),
@@ -116,7 +118,7 @@ def trends_from_tally(
     return (
         per_group.groupBy(YEAR)
         .agg(
-            F.sum("n").cast("int").alias("total_hires"),
+            F.sum("n").cast(c.count_type).alias("total_hires"),
             rounded_mean(F.sum("paid"), F.sum("n_paid"), 2)
             .cast("decimal(10,2)")
             .alias("avg_starting_salary"),

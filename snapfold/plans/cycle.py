@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -36,15 +36,20 @@ class CycleReport:
     years: int
 
 
-def load_bronze(lake: Lake, path: str | list[str], in_splits: bool | None = None) -> int:
+def _type_of(lake: Lake, table: str, column: str) -> str:
+    """The declared type of a column of one of the lake's tables."""
+    return dict(lake.layouts[table].columns)[column]
+
+
+def load_bronze(lake: Lake, path: str | list[str]) -> int:
     """Replace the raw table with the snapshot; returns its row count.
 
     Its staging twin is a view of the same rows without the load timestamp.
     """
     seen = Observation()
     raw = (
-        read_snapshot(lake.spark, path, in_splits=in_splits)
-        .withColumn("employee_id", F.col("employee_id").cast("int"))
+        read_snapshot(lake.spark, path)
+        .withColumn(schemas.KEY, F.col(schemas.KEY).cast(_type_of(lake, "bronze.employees", schemas.KEY)))
         .withColumn("ingestion_timestamp", F.current_timestamp())
         .observe(seen, F.count(F.lit(1)).alias("n"))
     )
@@ -57,11 +62,14 @@ def load_bronze(lake: Lake, path: str | list[str], in_splits: bool | None = None
     return seen.get["n"]
 
 
-def stage_incoming(lake: Lake, as_of: dt.date | str | None = None) -> DataFrame:
+def stage_incoming(
+    lake: Lake, as_of: dt.date | str | None = None, key: tuple[str, ...] = (schemas.KEY,)
+) -> DataFrame:
     """The cleaned rows of the raw table, also as a temporary view; aborts on bad keys."""
     raw = lake.table("bronze.employees")
-    check_key(raw, schemas.KEY)
-    incoming = conform_employees(raw, as_of)
+    incoming = conform_employees(raw, as_of, _type_of(lake, SILVER, schemas.KEY))
+    # The key as it arrives is all that is read for it, unless rules name cleaned columns.
+    check_key(raw if key == (schemas.KEY,) else incoming, *key)
     incoming.createOrReplaceTempView(STAGING_VIEW)
     return incoming
 
@@ -75,7 +83,11 @@ def refresh_silver(lake: Lake, incoming: DataFrame) -> None:
 def show_changes(
     lake: Lake, incoming: DataFrame, rules: cdc.ChangeRules = cdc.EMPLOYEES
 ) -> DataFrame:
-    """The classified changes of the published state, also as a temporary view."""
+    """The classified changes of the published state, also as a temporary view.
+
+    The view is bound to the versions published when it is made.  ``run_cycle`` makes it again on
+    the state it has published, so between cycles it shows what is left to change.
+    """
     changes = cdc.classify(incoming, lake.table(SILVER), rules)
     changes.createOrReplaceTempView(CHANGES_VIEW)
     return changes
@@ -94,21 +106,26 @@ def update_silver(
     lake.fit_buckets(SILVER, like="bronze.employees")
     counts = Observation()
     settled = cdc.settle(incoming, lake.table(SILVER), rules, as_of)
-    settled = settled.observe(counts, *cdc.count_actions())
-    state = cdc.drop_deleted(settled)
     if not lake.keeps_buckets(SILVER):
         # Someone set another number of buckets: shuffle, or each task writes to all.
-        state = lake.by_key(SILVER, state)
-    lake.publish({SILVER: state})
+        # Counted behind the shuffle, where no task runs again for a lost map output.
+        settled = lake.by_key(SILVER, settled)
+    settled = settled.observe(counts, *cdc.count_actions())
+    lake.publish({SILVER: cdc.drop_deleted(settled)})
     return counts.get
 
 
 def load_gold(lake: Lake, as_of: dt.date | str | None = None) -> tuple[int, int]:
     """Replace both aggregate tables in one commit, from one scan of the state."""
+    columns = replace(
+        gold.EMPLOYEES,
+        count_type=_type_of(lake, "gold.department_kpi", "total_employees"),
+        total_type=_type_of(lake, "gold.department_kpi", "total_salary_cost"),
+    )
     # One row per department, year and flag.
-    tallies = gold.shared_tally(lake.table(SILVER), as_of).persist()
+    tallies = gold.shared_tally(lake.table(SILVER), as_of, columns).persist()
     try:
-        kpi, trends = gold.gold_tables(tallies, as_of)
+        kpi, trends = gold.gold_tables(tallies, as_of, columns)
         seen_kpi, seen_trends = Observation(), Observation()
         count = F.count(F.lit(1)).alias("n")
         lake.publish(
@@ -127,7 +144,6 @@ def run_cycle(
     path: str | list[str],
     as_of: dt.date | str | None = None,
     rules: cdc.ChangeRules = cdc.EMPLOYEES,
-    in_splits: bool | None = None,
     keep: int | None = None,
 ) -> CycleReport:
     """Take in one full snapshot and bring every table up to date.
@@ -139,10 +155,10 @@ def run_cycle(
     as_of = as_of or lake.spark.sql("SELECT current_date()").first()[0]
     logger.info("cycle started: %s as of %s", path, as_of)
     try:
-        rows = load_bronze(lake, path, in_splits)
+        rows = load_bronze(lake, path)
         logger.info("bronze: %d rows", rows)
 
-        incoming = stage_incoming(lake, as_of)
+        incoming = stage_incoming(lake, as_of, rules.key)
         initial = not lake.exists(SILVER)
         counts = {}
         if initial:
@@ -150,6 +166,7 @@ def run_cycle(
         else:
             show_changes(lake, incoming, rules)
             counts = update_silver(lake, incoming, rules, as_of)
+            show_changes(lake, incoming, rules)
         lake.spark.catalog.dropTempView(STAGING_VIEW)
         logger.info("silver: %s", "initial load" if initial else counts)
 

@@ -121,7 +121,7 @@ LINES_AS_OF = {
     "worst_flag": "max(CASE WHEN cast(l_shipdate as date) <= {day} THEN ascii(l_returnflag) END)",
 }
 
-# One record per order placed in the three years before a day, as known on it.
+# One record per order, as known on a day.
 ORDER_SNAPSHOT = {
     "employee_id": "cast(o_orderkey as int)",
     "first_name": """CASE WHEN n_shipped >= 2 THEN concat('Flag ', chr(worst_flag))
@@ -135,7 +135,7 @@ ORDER_SNAPSHOT = {
         WHEN n_shipped = 2 THEN 'Active'
         WHEN n_shipped = 3 THEN 'Leave'
         ELSE 'Terminated' END""",
-    "salary": """cast(floor((coalesce(shipped, 0) + cast(floor(o_totalprice) as bigint)) / 100)
+    "salary": """cast(floor((coalesce(shipped, 0) + cast(floor(o_totalprice) as bigint)) {units})
         as int)""",
     "joining_date": "cast(o_orderdate as date)",
     "termination_date": "CASE WHEN n_shipped = 1 OR n_shipped >= 4 THEN last_ship END",
@@ -143,7 +143,10 @@ ORDER_SNAPSHOT = {
         ELSE concat(cast(coalesce(n_shipped, 0) as string), ' lines', chr(10), 'on ',
                     cast({day} as string)) END""",
 }
-KEPT_DAYS = 3 * 365
+# Of seven classes of keys, the one that a snapshot lacks: not yet there, or no longer.
+ABSENT = {EARLIER: 3, LATER: 5}
+# Amounts that fit the employee tables' INT total, and such that outgrow it.
+HUNDREDS, CENTS = "/ 100", "* 100"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,15 +177,23 @@ def _lines(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
     )
 
 
-def order_snapshot(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    """Snapshot rows of the orders known and kept on a day, dates not yet resolved."""
-    day = _day(as_of)
-    orders = table(spark, sf_dir, "orders").where(
-        f"cast(o_orderdate as date) <= {day} AND cast(o_orderdate as date) > {day} - {KEPT_DAYS}"
-    )
+def known_on(as_of: str) -> str:
+    """The condition on orders that a snapshot holds; two snapshots together hold every order."""
+    return f"o_orderkey % 7 <> {ABSENT[as_of]}"
+
+
+def snapshot_columns(as_of: str, units: str = HUNDREDS) -> dict[str, str]:
+    return {c: ORDER_SNAPSHOT[c].format(day=_day(as_of), units=units) for c in SNAPSHOT_COLUMNS}
+
+
+def order_snapshot(
+    spark: SparkSession, sf_dir: str, as_of: str, units: str = HUNDREDS
+) -> DataFrame:
+    """Snapshot rows of the orders known on a day, dates not yet resolved."""
+    orders = table(spark, sf_dir, "orders").where(known_on(as_of))
     lines = _lines(spark, sf_dir, as_of)
     return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").selectExpr(
-        *[f"{ORDER_SNAPSHOT[c].format(day=day)} AS {c}" for c in SNAPSHOT_COLUMNS]
+        *[f"{e} AS {c}" for c, e in snapshot_columns(as_of, units).items()]
     )
 
 

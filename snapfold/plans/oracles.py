@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from snapfold.functions.cleaning import WHITESPACE
 from snapfold.plans import inputs
-from snapfold.schemas import NA_TOKENS, SNAPSHOT_COLUMNS
+from snapfold.schemas import NA_TOKENS, SILVER_EMPLOYEES, SNAPSHOT_COLUMNS, names
 
 
 def _ctes(*ctes: str) -> str:
@@ -49,21 +49,18 @@ life AS (
 )"""
 
 
-def _snapshot(name: str, as_of: str) -> str:
+def _snapshot(name: str, as_of: str, units: str = inputs.HUNDREDS) -> str:
     """Snapshot rows (``<name>_raw``) and typed state (``<name>``) of a day."""
     day = f"DATE '{as_of}'"
     lines = ", ".join(f"{e.format(day=day)} AS {c}" for c, e in inputs.LINES_AS_OF.items())
-    rows = ", ".join(
-        f"{inputs.ORDER_SNAPSHOT[c].format(day=day)} AS {c}" for c in SNAPSHOT_COLUMNS
-    )
+    rows = ", ".join(f"{e} AS {c}" for c, e in inputs.snapshot_columns(as_of, units).items())
     wiped = "termination_date < joining_date"
     return f"""{name}_raw AS (
   SELECT {rows}
   FROM orders
   LEFT JOIN (SELECT l_orderkey, {lines} FROM lineitem GROUP BY l_orderkey)
     ON o_orderkey = l_orderkey
-  WHERE cast(o_orderdate AS date) <= {day}
-    AND cast(o_orderdate AS date) > {day} - {inputs.KEPT_DAYS}
+  WHERE {inputs.known_on(as_of)}
 ),
 {name} AS (
   SELECT employee_id, first_name, last_name, department, email, phone, status, salary,
@@ -136,10 +133,7 @@ def _conformed(source: str, as_of: str) -> str:
 # -- change capture --------------------------------------------------------------
 
 _COMPARED = ("first_name", "last_name", "salary", "department", "status")
-_VALUES = (
-    "first_name, last_name, department, email, phone, status, salary, joining_date, "
-    "termination_date, status_flag, address"
-).split(", ")
+_VALUES = tuple(c for c in names(SILVER_EMPLOYEES) if c not in ("employee_id", "updated_at"))
 
 
 def _changes(incoming: str, current: str) -> str:
@@ -205,9 +199,9 @@ def _tenure(as_of: str) -> str:
       THEN termination_date - joining_date ELSE DATE '{as_of}' - joining_date END"""
 
 
-def _kpi(source: str, as_of: str, total_type: str) -> str:
-    return f"""SELECT department, cast(n AS integer) AS total_employees,
-       cast(n_active AS integer) AS active_employees,
+def _kpi(source: str, as_of: str, total_type: str, count_type: str = "integer") -> str:
+    return f"""SELECT department, cast(n AS {count_type}) AS total_employees,
+       cast(n_active AS {count_type}) AS active_employees,
        {_mean("paid", "n_paid", 2)} AS avg_salary,
        cast(cost AS {total_type}) AS total_salary_cost,
        cast({_mean("days", "n_days")} AS integer) AS avg_tenure_days,
@@ -243,13 +237,14 @@ WHERE coalesce(place, 1) = 1"""
 # -- whole cycles: files know no empty text, and the first state is only cleaned ---
 
 
-def _cycle_ctes() -> str:
+def _cycle_ctes(units: str = inputs.HUNDREDS) -> str:
     def read(name: str) -> str:
         columns = ", ".join(f"nullif(cast({c} AS varchar), '') AS {c}" for c in SNAPSHOT_COLUMNS)
         return f"(SELECT {columns} FROM {name}_raw)"
 
     return _ctes(
-        PAIR,
+        _snapshot("cur", inputs.EARLIER, units),
+        _snapshot("inc", inputs.LATER, units),
         f"first_state AS {_conformed(read('cur'), inputs.EARLIER)}",
         f"arrived AS {_conformed(read('inc'), inputs.LATER)}",
         f"arrived_changes AS {_changes('arrived', 'first_state')}",
@@ -343,5 +338,6 @@ SELECT hiring_year, most_hired_dept FROM ({_trends("life", inputs.GOLD_AS_OF)})"
     "initial_silver": _ctes(RAW, READ) + _shown_state(_conformed("snapshot", inputs.GOLD_AS_OF)),
     "cycle_silver": _cycle_ctes() + _shown_state("state"),
     "cycle_department_kpi": _cycle_ctes() + _kpi("state", inputs.LATER, "integer"),
+    "cycle_wide_kpi": _cycle_ctes(inputs.CENTS) + _kpi("state", inputs.LATER, "bigint", "bigint"),
     "cycle_hiring_trends": _cycle_ctes() + _trends("state", inputs.LATER),
 }

@@ -21,13 +21,13 @@ from snapfold.plans import inputs
 from snapfold.plans.cycle import load_bronze, refresh_silver, run_cycle, stage_incoming
 from snapfold.schemas import SNAPSHOT_COLUMNS
 from snapfold.session import configure, scratch_dir
-from snapfold.sources.lake import Lake
+from snapfold.sources.lake import LAYOUTS, WIDE_LAYOUTS, Lake, Layout
 from snapfold.sources.snapshot import read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Order cost totals outgrow INT.
-ORDER_KPI = gold.KpiColumns(total_type="bigint")
+ORDER_KPI = gold.KpiColumns(count_type="int", total_type="bigint")
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -62,12 +62,21 @@ def _roster_files(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def csv_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_snapshot(spark, _roster_files(spark, sf_dir, "csv_snapshot"), in_splits=False)
+    return read_snapshot(spark, _roster_files(spark, sf_dir, "csv_snapshot"))
+
+
+def small_splits(spark: SparkSession) -> SparkSession:
+    """A session that cuts files every 256 KB."""
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    return session
 
 
 def csv_snapshot_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _roster_files(spark, sf_dir, "csv_snapshot_in_splits")
-    return read_snapshot(spark, path, in_splits=True)
+    """The same files, cut anywhere, with a column ahead that the snapshot does not have."""
+    rows = inputs.raw_roster(spark, sf_dir).select(F.lit("more").alias("extra"), "*")
+    path = write_snapshot(rows, scratch_dir(spark, "csv_snapshot_in_splits"))
+    return read_snapshot(small_splits(spark), path)
 
 
 def bronze_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,14 +207,11 @@ def cdc_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming, current = _pair(spark, sf_dir)
-    changes = cdc.classify(incoming, current)
-    return shown(cdc.apply_updates(current, changes, as_of=inputs.LATER))
+    return shown(cdc.updated_rows(cdc.settle(*_pair(spark, sf_dir), as_of=inputs.LATER)))
 
 
 def cdc_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming, current = _pair(spark, sf_dir)
-    return shown(cdc.apply_deletes(current, cdc.classify(incoming, current)))
+    return shown(cdc.surviving_rows(*_pair(spark, sf_dir)))
 
 
 def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,40 +224,38 @@ def cdc_apply_converging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_redetect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming, current = _pair(spark, sf_dir)
-    applied = cdc.apply_changes(incoming, current, as_of=inputs.LATER)
-    return cdc.classify(incoming, applied).select("employee_id", cdc.ACTION)
+    return cdc.left_over(*_pair(spark, sf_dir), as_of=inputs.LATER)
 
 
 # -- aggregates ------------------------------------------------------------------
 
 
-def cond_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unflagged_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gold.unflagged(inputs.order_lifecycle(spark, sf_dir))
-    return rows.groupBy("department").agg(
-        F.count(F.lit(1)).alias("total_employees"),
-        F.count_if(gold.is_active()).alias("active_employees"),
+    return gold.tally(rows, {"department": F.col("department")}, inputs.GOLD_AS_OF)
+
+
+def cond_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unflagged_tally(spark, sf_dir).select(
+        "department", F.col("n").alias("total_employees"), F.col("n_active").alias("active_employees")
     )
 
 
 def cond_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = gold.unflagged(inputs.order_lifecycle(spark, sf_dir))
-    return rows.groupBy("department").agg(F.sum(gold.active_cost()).alias("total_salary_cost"))
+    return _unflagged_tally(spark, sf_dir).select("department", F.col("cost").alias("total_salary_cost"))
 
 
 def avg_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = F.sum(F.col("salary").cast("decimal(20,0)"))
-    rows = inputs.order_lifecycle(spark, sf_dir)
-    return shown(
-        rows.groupBy("status").agg(rounded_mean(paid, F.count("salary"), 2).alias("avg_salary"))
+    tallies = gold.tally(
+        inputs.order_lifecycle(spark, sf_dir), {"status": F.col("status")}, inputs.GOLD_AS_OF
     )
+    mean = rounded_mean(F.col("paid"), F.col("n_paid"), 2)
+    return shown(tallies.select("status", mean.alias("avg_salary")))
 
 
 def avg_tenure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = gold.tenure_days(inputs.GOLD_AS_OF)
-    rows = gold.unflagged(inputs.order_lifecycle(spark, sf_dir))
-    mean = rounded_mean(F.sum(days.cast("bigint")), F.count(days)).cast("int")
-    return rows.groupBy("department").agg(mean.alias("avg_tenure_days"))
+    mean = rounded_mean(F.col("days"), F.col("n_days")).cast("int")
+    return _unflagged_tally(spark, sf_dir).select("department", mean.alias("avg_tenure_days"))
 
 
 def mode_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,16 +275,16 @@ def hiring_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_after_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = cdc.apply_changes(*_pair(spark, sf_dir), as_of=inputs.LATER)
-    return shown(gold.department_kpi(state, inputs.LATER))
+    return shown(gold.department_kpi(state, inputs.LATER, gold.EMPLOYEES))
 
 
 # -- whole cycles ----------------------------------------------------------------
 
 
-def new_lake(spark: SparkSession, name: str) -> Lake:
+def new_lake(spark: SparkSession, name: str, layouts: dict[str, Layout] = LAYOUTS) -> Lake:
     """An empty lake in a folder of its own."""
     root = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-    return Lake(spark, root, prefix=f"{name}_")
+    return Lake(spark, root, prefix=f"{name}_", layouts=layouts)
 
 
 def initial_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,13 +296,21 @@ def initial_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(lake.table("silver.employees"))
 
 
-def _two_cycles(spark: SparkSession, sf_dir: str, name: str) -> Lake:
+def order_files(spark: SparkSession, sf_dir: str, as_of: str, path: str, units: str) -> str:
+    """The order snapshot of a day as CSV part files."""
+    rows = inputs.order_snapshot(spark, sf_dir, as_of, units)
+    return write_snapshot(
+        rows.select(*[F.col(c).cast("string").alias(c) for c in SNAPSHOT_COLUMNS]), path
+    )
+
+
+def _two_cycles(
+    spark: SparkSession, sf_dir: str, name: str, layouts=LAYOUTS, units: str = inputs.HUNDREDS
+) -> Lake:
     """The earlier and then the later order snapshot, as files, through all layers."""
-    lake = new_lake(spark, name)
+    lake = new_lake(spark, name, layouts)
     for as_of in (inputs.EARLIER, inputs.LATER):
-        rows = inputs.order_snapshot(spark, sf_dir, as_of)
-        as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in SNAPSHOT_COLUMNS])
-        files = write_snapshot(as_text, scratch_dir(spark, f"{name}_{as_of}"))
+        files = order_files(spark, sf_dir, as_of, scratch_dir(spark, f"{name}_{as_of}"), units)
         run_cycle(lake, files, as_of)
     return lake
 
@@ -312,6 +324,12 @@ def cycle_department_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(lake.table("gold.department_kpi"))
 
 
+def cycle_wide_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts in cents: cost totals beyond INT, in tables declared for them."""
+    lake = _two_cycles(spark, sf_dir, "cycle_wide_kpi", WIDE_LAYOUTS, inputs.CENTS)
+    return shown(lake.table("gold.department_kpi"))
+
+
 def cycle_hiring_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _two_cycles(spark, sf_dir, "cycle_hiring_trends")
     return shown(lake.table("gold.hiring_trends"))
@@ -366,6 +384,7 @@ QUERIES: dict[str, Query] = {
         initial_silver,
         cycle_silver,
         cycle_department_kpi,
+        cycle_wide_kpi,
         cycle_hiring_trends,
     )
 }

@@ -94,6 +94,15 @@ GOLD_HIRING_TRENDS = (
 )
 
 
+# What outgrows INT in large tables: keys, head counts and cost totals.
+_WIDE = ("employee_id", "total_employees", "active_employees", "total_salary_cost", "total_hires")
+
+
+def widened(layout):
+    """The layout with BIGINT keys, counts and totals."""
+    return tuple((name, "BIGINT" if name in _WIDE else sql_type) for name, sql_type in layout)
+
+
 def names(layout) -> list[str]:
     return [name for name, _ in layout]
 

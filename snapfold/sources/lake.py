@@ -1,10 +1,12 @@
 """Published tables: versioned Parquet folders behind one append-only commit log.
 
 A publish writes its tables into new folders and then appends one small file to
-``<root>/commits`` that names them all.  That file is the commit: readers see
-either every table of it or none, and a job that dies before it leaves the last
-published state untouched.  Catalog tables are pointers to the committed folders
-and are set again from the log whenever a ``Lake`` is opened.
+``<root>/commits`` that names them all.  That file is the commit: it names every table
+of the publish or does not exist, and a job that dies before it leaves the last
+published state untouched.  Catalog tables are pointers to the committed folders.  They
+are moved one after another behind the commit, and set again from the log whenever a
+``Lake`` is opened: who reads several of them while a publish ends may see one moved and
+another not yet.  ``Lake.committed`` reads the tables of one commit together.
 
 There is one writer per lake at a time, as for any full-snapshot load.
 """
@@ -42,12 +44,21 @@ LAYOUTS = {
 }
 
 
+# The same for tables that outgrow INT keys, counts and cost totals.
+WIDE_LAYOUTS = {
+    name: Layout(schemas.widened(layout.columns), layout.bucket_by) for name, layout in LAYOUTS.items()
+}
+
+
 class Lake:
     """Tables under ``root``, readable as ``<prefix>bronze.employees`` and so on.
 
     ``buckets`` is the number of files keyed tables are hashed into; joins on the
     key then read them without a shuffle.  If it is not given, tables start with
     ``spark.sql.shuffle.partitions`` buckets and ``fit_buckets`` adds to them.
+
+    ``layouts`` declares the tables; ``WIDE_LAYOUTS`` lets keys, counts and cost totals
+    be BIGINT, which the steps of a cycle then follow.
     """
 
     def __init__(
@@ -115,6 +126,16 @@ class Lake:
             raise LookupError(f"{table} has not been published under {self.root}")
         return self.spark.table(self.catalog_name(table))
 
+    def committed(self, *tables: str) -> dict[str, DataFrame]:
+        """The given tables as the log has them now, whatever the pointers say."""
+        latest = {row.table_name: row.path for row in self._latest()}
+        absent = [t for t in tables if t not in latest]
+        if absent:
+            raise LookupError(f"{', '.join(absent)} not published under {self.root}")
+        return {
+            t: self.spark.read.schema(schemas.ddl(self.layouts[t].columns)).parquet(latest[t]) for t in tables
+        }
+
     def publish(self, tables: dict[str, DataFrame]) -> int:
         """Replace all the given tables, in one commit; returns its version.
 
@@ -136,8 +157,10 @@ class Lake:
         """Insert the rows into a new folder; returns its entry for the commit."""
         layout = self.layouts[table]
         buckets = self.buckets_of(table) if layout.bucket_by else 0
-        path = f"{self.root}/{table.replace('.', '/')}/v{version:08d}-{uuid.uuid4().hex[:8]}"
-        pending = f"{table}__v{version}"
+        own = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.root}/{table.replace('.', '/')}/{own}"
+        # A name of its own: what a driver that died left in the catalog is in no one's way.
+        pending = f"{table}__{own.replace('-', '_')}"
         self._create(pending, layout, path, buckets)
         try:
             columns = schemas.names(layout.columns)
@@ -185,12 +208,14 @@ class Lake:
         """Let a keyed table have buckets enough for the size of another published one.
 
         Their number is only ever doubled: what a task holds of the present buckets
-        then goes to a few whole new ones, without another shuffle.
+        then goes to a few whole new ones, without another shuffle.  Where doubling would
+        pass the number that Spark allows, the buckets grow instead.
         """
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
         file_system, at = self._files(self._published[like][0])
         n_bytes = file_system.getContentSummary(at).getLength()
         buckets = self.buckets_of(table)
-        while not self.fixed_buckets and n_bytes > buckets * BUCKET_BYTES:
+        while not self.fixed_buckets and n_bytes > buckets * BUCKET_BYTES and 2 * buckets <= most:
             buckets *= 2
         self._fitted[table] = buckets
         return buckets

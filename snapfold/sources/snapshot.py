@@ -16,34 +16,37 @@ from snapfold.sources import records as record_tasks
 cloudpickle.register_pickle_by_value(record_tasks)
 
 _CSV = {"quote": '"', "escape": '"', "lineSep": "\n"}
-_SURPLUS, _CORRUPT = "_surplus", "_corrupt"
+_SURPLUS = "_surplus"
 
-# A file this many times larger than an input split is read in splits.
-SPLIT_FACTOR = 4
-
-# Longest record that may reach over an input split's end; more is a lost quote.
-MAX_SHARED_RECORD = 128 * 1024 * 1024
+# Longest record; a longer one is taken for a lost quote, wherever it lies.
+MAX_RECORD = 128 * 1024 * 1024
 
 # What is known of up to this many splits (about 100 bytes each) is broadcast.
 MAX_BROADCAST_SPLITS = 500_000
 
+_OPEN_QUOTE = "snapshot file that ends inside quotes (a quote is missing?)"
+_TOO_LONG = "snapshot record too long (a quote is missing?)"
+
+_UNITS = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30, "t": 40, "tb": 40}
+
 
 def read_snapshot(
     spark: SparkSession,
     path: str | list[str],
     columns: Sequence[str] = schemas.SNAPSHOT_COLUMNS,
     na_tokens: tuple[str, ...] = schemas.NA_TOKENS,
-    in_splits: bool | None = None,
 ) -> DataFrame:
     """The named columns of a snapshot file, folder, glob or list of them, as text.
 
     Columns are found by header name; others are ignored.  Short rows are filled
-    with NULL; surplus values or a file with another header abort the load.
-
-    A file with multi-line fields cannot be cut at just any line break, so Spark
-    reads each file in one task: right for a folder of part files.  Files much
-    larger than an input split, and those with CRLF line ends, are read in splits
-    and their records put together (``in_splits`` overrules that choice).
+    with NULL.  Lines end in LF or CRLF, also within one file; line ends inside quotes
+    are kept as they are.  The load aborts, whatever the size of a file and
+    wherever it is cut, on surplus values, on a file with another header, on a quote that
+    is not closed at the end of its file, on quotes inside unquoted fields that put
+    lines together, and on records of more than MAX_RECORD characters.
+
+    A file with multi-line fields cannot be cut at just any line break.  Files are
+    read in splits all the same, and their records put together.
     """
     paths = [path] if isinstance(path, str) else list(path)
     try:
@@ -52,20 +55,18 @@ def read_snapshot(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"snapshot not found: {', '.join(paths)}") from error
         raise
-    crlf = header[-1].endswith("\r")
     header = [name.rstrip("\r") for name in header]
     absent = [c for c in columns if c not in header]
     if absent:
         raise ValueError(f"snapshot has no column {', '.join(absent)}")
-    if in_splits is None:
-        in_splits = crlf or _largest_file(spark, paths) > SPLIT_FACTOR * _split_bytes(spark)
-    rows = (_read_in_splits if in_splits else _read_whole_files)(spark, paths, header)
-    return normalise_nulls(rows.select(*columns), na_tokens)
+    return normalise_nulls(_read_in_splits(spark, paths, header).select(*columns), na_tokens)
 
 
 def _split_bytes(spark: SparkSession) -> int:
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+    """The input split size that is set, in bytes."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    number = size.rstrip("bkmgt")
+    return int(number) << _UNITS[size[len(number) :]]
 
 
 def _file_lengths(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -79,10 +80,6 @@ def _file_lengths(spark: SparkSession, paths: list[str]) -> DataFrame:
     return listing.read.format("binaryFile").load(paths).select("length")
 
 
-def _largest_file(spark: SparkSession, paths: list[str]) -> int:
-    return _file_lengths(spark, paths).agg(F.max("length")).first()[0] or 0
-
-
 def _count_splits(spark: SparkSession, paths: list[str]) -> int:
     """An upper bound: full splits and the rest of each file, or more splits than
     that, so that every core gets one."""
@@ -105,26 +102,6 @@ def _line_breaks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
-def _read_whole_files(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
-    rows = (
-        spark.read.options(
-            **_CSV,
-            header=True,
-            multiLine=True,
-            enforceSchema=False,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_CORRUPT,
-        )
-        .schema(_text_schema([*header, _CORRUPT]))
-        .csv(paths)
-    )
-    # Rows of the wrong length, and only those, are parsed again for surplus values.
-    again = F.from_csv(_CORRUPT, _text_schema([*header, _SURPLUS]), _CSV)
-    fits = F.col(_CORRUPT).isNull() | again[_SURPLUS].isNull()
-    first = _require(fits, F.col(header[0]), "snapshot row with too many fields")
-    return rows.select(first.alias(header[0]), *header[1:])
-
-
 def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
     """Records of quoted CSV, put together from lines read in independent splits.
 
@@ -145,13 +122,15 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
     splits_before = (
         Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # The splits that begin inside a quoted field.
+    closed = F.sum("quotes").over(Window.partitionBy("file")) % 2 == 0
+    # The splits that begin inside a quoted field, and all of a file that ends inside one.
     begun_inside = (
         lines.groupBy(*split)
         .agg(F.sum(quotes).alias("quotes"))
-        .withColumn("before", F.sum("quotes").over(splits_before))
-        .where(F.col("before") % 2 == 1)
-        .select(*split, F.lit(True).alias("inside"))
+        .withColumn("closed", closed)
+        .withColumn("inside", F.coalesce(F.sum("quotes").over(splits_before) % 2 == 1, F.lit(False)))
+        .where(F.col("inside") | ~F.col("closed"))
+        .select(*split, _require(F.col("closed"), F.lit("1"), _OPEN_QUOTE).cast("boolean").alias("inside"))
     )
     if _count_splits(spark, paths) <= MAX_BROADCAST_SPLITS:
         located = lines.join(F.broadcast(begun_inside), split, "left")
@@ -175,9 +154,7 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         .withColumn(
             "text",
             _require(
-                F.col("length") <= MAX_SHARED_RECORD,
-                F.col("text"),
-                "snapshot record too long to read in splits (a quote is missing?)",
+                F.col("length") <= MAX_RECORD, F.col("text"), _TOO_LONG
             ),
         )
         .groupBy("file", "record")
@@ -193,30 +170,30 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         "is_header",
         F.from_csv("text", _text_schema([*header, _SURPLUS]), _CSV).alias("row"),
         (F.col("text") == "").alias("is_blank"),
+        (F.length("text") <= MAX_RECORD).alias("is_short"),
         _line_breaks(F.col("text")).alias("line_breaks"),
     )
     same_header = F.to_json("row") == F.to_json(
         F.struct(*[F.lit(name).alias(name) for name in header])
     )
-    is_body = (
-        F.when(F.col("is_blank"), False)
-        .when(
-            F.col("is_header"),
-            _require(
-                same_header, F.lit("false"), "snapshot files with different headers"
-            ).cast("boolean"),
-        )
-        .otherwise(True)
-    )
     # A quote inside an unquoted field puts lines together that do not belong together;
     # what follows the first of them would be lost.
     values = F.concat_ws("", *[F.col("row")[c] for c in header])
     is_record = (F.col("line_breaks") == 0) | (F.col("line_breaks") == _line_breaks(values))
-    fits = F.col("row")[_SURPLUS].isNull()
-    first = _require(fits, F.col("row")[header[0]], "snapshot row with too many fields")
-    first = _require(
-        is_record, first, "snapshot with unquoted quotes (a quote is missing?)"
-    )
-    return parsed.where(is_body).select(
-        first.alias(header[0]), *[F.col("row")[c].alias(c) for c in header[1:]]
+    rows_type = parsed.select(F.array("row")).schema[0].dataType
+    none = F.array().cast(rows_type)
+
+    def refuse(message: str) -> Column:
+        return F.raise_error(F.lit(message)).cast(rows_type)
+
+    # The checks decide how many rows there are, so no choice of columns prunes them away.
+    checked = (
+        F.when(F.col("is_blank"), none)
+        .when(~F.col("is_short"), refuse(_TOO_LONG))
+        .when(F.col("is_header") & same_header, none)
+        .when(F.col("is_header"), refuse("snapshot files with different headers"))
+        .when(F.col("row")[_SURPLUS].isNotNull(), refuse("snapshot row with too many fields"))
+        .when(~is_record, refuse("snapshot with unquoted quotes (a quote is missing?)"))
+        .otherwise(F.array("row"))
     )
+    return parsed.select(F.inline(checked)).select(*[f"`{c}`" for c in header])

@@ -27,15 +27,6 @@ def sf_dir():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
-@pytest.fixture(scope="session")
-def sample_csv():
-    """The published 200-row snapshot that the golden values belong to."""
-    path = os.environ.get("SAMPLE_SNAPSHOT")
-    if not path:
-        pytest.skip("SAMPLE_SNAPSHOT does not name the published sample")
-    return path
-
-
 @pytest.fixture
 def lake(spark, tmp_path, request):
     from snapfold.sources.lake import Lake

@@ -10,46 +10,28 @@ from pyspark.sql import functions as F
 
 from snapfold.functions.numeric import rounded_mean
 from snapfold.operators import gold
-from snapfold.operators.conform import conform_employees
-from snapfold.sources.snapshot import read_snapshot
+from snapfold.operators.conform import conform_employees, normalise_nulls
+from snapfold.schemas import SNAPSHOT_COLUMNS
+
+from tests.golden import AS_OF, KPI, PEOPLE, TRENDS
 
-AS_OF = "2026-01-13"
 SCHEMA = (
     "department string, status string, salary int, joining_date date, "
     "termination_date date, status_flag boolean"
 )
 
-KPI = [
-    ("Legal", 30, 19, "6644.80", 132243, 823),
-    ("Sales", 23, 17, "7126.43", 125781, 800),
-    ("Marketing", 23, 17, "6828.13", 119249, 983),
-    ("Engineering", 22, 14, "6517.14", 91992, 730),
-    ("Finance", 16, 11, "6819.50", 75033, 1106),
-    ("Ops", 16, 8, "6454.19", 54009, 535),
-    ("HR", 21, 7, "6497.24", 45682, 816),
-]
-TRENDS = [
-    (2025, 18, "6689.17", "Engineering"),
-    (2024, 29, "6955.52", "Legal"),
-    (2023, 25, "7128.36", "Marketing"),
-    (2022, 31, "6243.03", "Legal"),
-    (2021, 48, "6638.31", "HR"),
-    (-1, 49, "6761.51", "Sales"),
-]
-
-
-def with_date(rows, money):
-    """Golden rows as the tables have them: exact decimals and the as-of date."""
-    date = dt.date.fromisoformat(AS_OF)
-    return [(*(Decimal(v) if i == money else v for i, v in enumerate(r)), date) for r in rows]
-
-
-def test_golden_tables_on_the_published_sample(spark, sample_csv):
-    silver = conform_employees(read_snapshot(spark, sample_csv), AS_OF)
-    kpi = gold.department_kpi(silver, AS_OF)
-    trends = gold.hiring_trends(silver, AS_OF)
-    assert [tuple(r) for r in kpi.collect()] == with_date(KPI, 3)
-    assert [tuple(r) for r in trends.collect()] == with_date(TRENDS, 2)
+
+@pytest.fixture(scope="module")
+def people(spark):
+    raw = spark.createDataFrame(PEOPLE, ", ".join(f"{c} string" for c in SNAPSHOT_COLUMNS))
+    return conform_employees(normalise_nulls(raw), AS_OF)
+
+
+def test_golden_tables(people):
+    kpi = gold.department_kpi(people, AS_OF, gold.EMPLOYEES)
+    trends = gold.hiring_trends(people, AS_OF, gold.EMPLOYEES)
+    assert [tuple(r) for r in kpi.collect()] == KPI
+    assert [tuple(r) for r in trends.collect()] == TRENDS
     assert dict(kpi.dtypes) == {
         "department": "string",
         "total_employees": "int",
@@ -68,14 +50,17 @@ def test_golden_tables_on_the_published_sample(spark, sample_csv):
     }
 
 
-def test_shared_tally_gives_the_same_tables(spark, sample_csv):
-    silver = conform_employees(read_snapshot(spark, sample_csv), AS_OF)
-    kpi, trends = gold.gold_tables(gold.shared_tally(silver, AS_OF), AS_OF)
-    assert [tuple(r) for r in kpi.collect()] == with_date(KPI, 3)
-    assert [tuple(r) for r in trends.collect()] == with_date(TRENDS, 2)
+def test_shared_tally_gives_the_same_tables(people):
+    kpi, trends = gold.gold_tables(gold.shared_tally(people, AS_OF), AS_OF, gold.KpiColumns())
+    assert [tuple(r) for r in kpi.collect()] == KPI
+    assert [tuple(r) for r in trends.collect()] == TRENDS
+    # Unless the tables say otherwise, counts and totals are wide.
+    assert dict(kpi.dtypes)["total_employees"] == dict(trends.dtypes)["total_hires"] == "bigint"
+    assert dict(kpi.dtypes)["total_salary_cost"] == "bigint"
 
 
 D = dt.date
+TODAY = "2026-01-13"
 
 
 def test_null_groups_flags_and_amounts(spark):
@@ -88,9 +73,9 @@ def test_null_groups_flags_and_amounts(spark):
         ("e", "Terminated", 7, D(2026, 1, 1), D(2026, 1, 2), False),
         ("e", "Terminated", 8, D(2026, 1, 1), None, False),
     ]
-    kpi = gold.department_kpi(spark.createDataFrame(rows, SCHEMA), AS_OF).collect()
+    kpi = gold.department_kpi(spark.createDataFrame(rows, SCHEMA), TODAY).collect()
     got = {r.department: tuple(r)[1:-1] for r in kpi}
-    long_since = (D.fromisoformat(AS_OF) - D(2020, 1, 1)).days
+    long_since = (D.fromisoformat(TODAY) - D(2020, 1, 1)).days
     assert got == {
         None: (1, 1, Decimal("10.00"), 10, long_since),
         "a": (1, 1, None, None, long_since),
@@ -110,7 +95,7 @@ def test_mode_ties_and_missing_groups(spark):
         (None, "x", 1, D(2021, 2, 1), None, False),
         ("z", "x", 2, None, None, True),
     ]
-    trends = gold.hiring_trends(spark.createDataFrame(rows, SCHEMA), AS_OF).collect()
+    trends = gold.hiring_trends(spark.createDataFrame(rows, SCHEMA), TODAY).collect()
     assert [(r.hiring_year, r.total_hires, r.most_hired_dept) for r in trends] == [
         (2021, 1, None),
         (2020, 4, "a"),
@@ -122,9 +107,8 @@ def test_cost_total_is_bounded_by_its_type(spark):
     rows = [("a", "Active", 2_000_000_000, D(2020, 1, 1), None, False)] * 2
     df = spark.createDataFrame(rows, SCHEMA)
     with pytest.raises(PySparkException):
-        gold.department_kpi(df, AS_OF).collect()
-    wide = gold.KpiColumns(total_type="bigint")
-    row = gold.department_kpi(df.limit(1).union(df.limit(1)), AS_OF, wide)
+        gold.department_kpi(df, TODAY, gold.EMPLOYEES).collect()
+    row = gold.department_kpi(df.limit(1).union(df.limit(1)), TODAY, gold.KpiColumns())
     assert row.select("total_salary_cost").first()[0] == 4_000_000_000
 
 

@@ -33,3 +33,16 @@ def test_snapshots_are_taken_in_order_and_once(spark, lake, tmp_path):
     (report,) = run_arrivals(lake, *where)
     assert (report.deleted, report.unchanged) == (1, 1)
     assert [r.employee_id for r in lake.table("silver.employees").collect()] == [3]
+
+
+def test_a_late_snapshot_is_refused(lake, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    where = str(landing), str(tmp_path / "checkpoint")
+    announce(landing, "a.json", write(tmp_path / "1.csv", ANN, BOB), "2025-01-02", age=100)
+    run_arrivals(lake, *where)
+    announce(landing, "b.json", write(tmp_path / "2.csv", CAT), "2025-01-01", age=50)
+    assert run_arrivals(lake, *where) == []
+    assert sorted(r.employee_id for r in lake.table("silver.employees").collect()) == [1, 2]
+    announce(landing, "c.json", str(tmp_path / "2.csv"), "2025-01-02", age=0)
+    assert [r.deleted for r in run_arrivals(lake, *where)] == [2]

@@ -2,9 +2,11 @@
 
 import csv
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from snapfold import schemas
@@ -12,9 +14,9 @@ from snapfold.operators import cdc
 from snapfold.operators.keys import KeyViolation
 from snapfold.plans import cycle
 from snapfold.plans.cycle import run_cycle
-from snapfold.sources.lake import Lake
+from snapfold.sources.lake import WIDE_LAYOUTS, Lake
 
-from tests.test_aggregates import AS_OF, KPI, TRENDS, with_date
+from tests.golden import AS_OF, KPI, PEOPLE, TRENDS
 
 COLUMNS = list(schemas.SNAPSHOT_COLUMNS)
 ANN = ["1", " ann ", "o'neil", "Ops", "annexample.com", "(1) 2", "Active", "$100", "2020-01-01", "", "x\ny"]
@@ -35,17 +37,16 @@ def changed(record, **values):
     return [values.get(c, v) for c, v in zip(COLUMNS, record, strict=True)]
 
 
-def test_published_sample(spark, lake, sample_csv):
-    first = run_cycle(lake, sample_csv, AS_OF)
-    assert first == cycle.CycleReport(True, 200, 0, 0, 0, 0, 7, 6)
-    assert [tuple(r) for r in lake.table("gold.department_kpi").collect()] == with_date(KPI, 3)
-    assert [tuple(r) for r in lake.table("gold.hiring_trends").collect()] == with_date(TRENDS, 2)
+def test_golden_cycle(spark, lake, tmp_path):
+    path = write(tmp_path / "1.csv", *PEOPLE)
+    assert run_cycle(lake, path, AS_OF) == cycle.CycleReport(True, 8, 0, 0, 0, 0, 3, 3)
+    assert [tuple(r) for r in lake.table("gold.department_kpi").collect()] == KPI
+    assert [tuple(r) for r in lake.table("gold.hiring_trends").collect()] == TRENDS
     state = lake.table("silver.employees").collect()
-    second = run_cycle(lake, sample_csv, "2026-01-14")
-    assert second == cycle.CycleReport(False, 200, 0, 0, 0, 200, 7, 6)
+    assert run_cycle(lake, path, "2025-01-11") == cycle.CycleReport(False, 8, 0, 0, 0, 8, 3, 3)
     assert sorted(lake.table("silver.employees").collect()) == sorted(state)
     assert {r.last_updated for r in lake.table("gold.department_kpi").collect()} == {
-        dt.date(2026, 1, 14)
+        dt.date(2025, 1, 11)
     }
 
 
@@ -103,12 +104,70 @@ def test_bronze_and_its_staging_view(spark, lake, tmp_path):
     assert first.salary == "$100" and first.address == "x\ny" and first.termination_date is None
 
 
-def test_staging_is_cleared_and_changes_stay_visible(spark, lake, tmp_path):
-    run_cycle(lake, write(tmp_path / "1.csv", ANN), "2025-01-01")
-    run_cycle(lake, write(tmp_path / "2.csv", ANN, BOB), "2025-01-02")
+def test_staging_is_cleared_and_the_view_shows_what_is_left(spark, lake, tmp_path):
+    run_cycle(lake, write(tmp_path / "1.csv", ANN), "2025-01-01", keep=1)
+    second = write(tmp_path / "2.csv", changed(ANN, salary="150"), BOB)
+    run_cycle(lake, second, "2025-01-02", keep=1)
     assert not spark.catalog.tableExists(cycle.STAGING_VIEW)
+    # The raise is not taken over; old versions are gone, the view is on the published ones.
     changes = spark.table(cycle.CHANGES_VIEW).collect()
-    assert {r.employee_id: r.cdc_action for r in changes} == {1: "NO_CHANGE", 2: "INSERT"}
+    assert {r.employee_id: r.cdc_action for r in changes} == {1: "UPDATE", 2: "NO_CHANGE"}
+
+
+def test_wide_tables_take_what_int_does_not(spark, lake, tmp_path):
+    rich = [changed(ANN, employee_id=str(5_000_000_000 + i), salary="90000000") for i in range(30)]
+    path = write(tmp_path / "1.csv", *rich)
+    wide = Lake(spark, str(tmp_path / "wide"), prefix="wide_", layouts=WIDE_LAYOUTS)
+    run_cycle(wide, path, "2025-01-01")
+    assert run_cycle(wide, path, "2025-01-02").unchanged == 30
+    row = wide.table("gold.department_kpi").first()
+    assert (row.total_employees, row.total_salary_cost) == (30, 2_700_000_000)
+    assert wide.table("silver.employees").agg({"employee_id": "max"}).first()[0] == 5_000_000_029
+    with pytest.raises(PySparkException):
+        run_cycle(lake, path, "2025-01-01")
+    # Keys that fit, a total that doesn't.
+    small = [changed(r, employee_id=str(i)) for i, r in enumerate(rich)]
+    with pytest.raises(PySparkException):
+        run_cycle(lake, write(tmp_path / "2.csv", *small), "2025-01-01")
+    assert not lake.exists("gold.department_kpi")
+
+
+def test_rules_with_another_key_check_that_key(lake, tmp_path):
+    rules = replace(cdc.EMPLOYEES, key=("email",))
+    path = write(tmp_path / "1.csv", ANN, changed(BOB, email=ANN[4]))
+    with pytest.raises(KeyViolation, match="email"):
+        run_cycle(lake, path, "2025-01-01", rules)
+
+
+QUOTED = [changed(ANN, employee_id=str(i), address=f'No. {i},\nsome "street"') for i in range(1, 41)]
+
+
+@pytest.mark.parametrize("split", [40, 700, 10**8])
+@pytest.mark.parametrize("lost", ["first address", "last address", "name", "last line"])
+def test_a_lost_quote_aborts_and_deletes_nothing(spark, lake, tmp_path, lost, split):
+    good = write(tmp_path / "1.csv", *QUOTED)
+    run_cycle(lake, good, "2025-01-01")
+    text = open(good).read()
+    last = text.rindex('"\n')
+    broken = {
+        "first address": lambda: text.replace('"\n2,', "\n2,", 1),
+        "last address": lambda: text[:last] + text[last + 1 :],
+        "name": lambda: text.replace("\n7, ann ", '\n7," ann ', 1),
+        "last line": lambda: text + '41,"x',
+    }[lost]()
+    assert broken.count('"') % 2 == 1
+    (tmp_path / "2.csv").write_text(broken)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, f"{split}b")
+    try:
+        with pytest.raises((PySparkException, Py4JJavaError), match="quote"):
+            run_cycle(lake, str(tmp_path / "2.csv"), "2025-01-02")
+    finally:
+        spark.conf.set(name, before)
+    for table in ("bronze.employees", "silver.employees"):
+        assert lake.table(table).count() == 40
+    assert lake.history().where("table_name = 'bronze.employees'").count() == 1
 
 
 @pytest.mark.parametrize(

@@ -87,6 +87,64 @@ def test_interrupted_publish_is_invisible(spark, lake, monkeypatch):
     assert keys(again) == [3]
 
 
+def test_a_driver_that_dies_while_writing_blocks_nothing(spark, lake, monkeypatch):
+    """Its pending table stays in the catalog; the next publish has the same version."""
+    lake.publish({STATE: state(spark, [1])})
+    sql = spark.sql
+
+    def no_drop(text, *args, **kwargs):
+        if text.startswith("DROP TABLE") and "__v" in text:
+            raise KeyboardInterrupt
+        return sql(text, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(spark, "sql", no_drop)
+        with pytest.raises(KeyboardInterrupt):
+            lake.publish({STATE: state(spark, [2])})
+    again = Lake(spark, lake.root, prefix=lake.prefix)
+    assert again.publish({STATE: state(spark, [3])}) == 2
+    assert keys(again) == [3]
+
+
+def test_a_commit_is_read_as_a_whole_before_pointers_move(spark, tmp_path, monkeypatch):
+    layouts = {"gold.a": Layout((("v", "INT"),)), "gold.b": Layout((("v", "INT"),))}
+    lake = Lake(spark, str(tmp_path), prefix="whole_", layouts=layouts)
+    number = lambda n: spark.range(1).select(F.lit(n).alias("v"))
+    lake.publish({"gold.a": number(1), "gold.b": number(1)})
+    moved, point = [], lake._point
+
+    def die_behind_the_first(*args):
+        if moved:
+            raise KeyboardInterrupt
+        moved.append(point(*args))
+
+    monkeypatch.setattr(lake, "_point", die_behind_the_first)
+    with pytest.raises(KeyboardInterrupt):
+        lake.publish({"gold.a": number(2), "gold.b": number(2)})
+    assert sorted(lake.table(t).first().v for t in layouts) == [1, 2]
+    assert [df.first().v for df in lake.committed(*layouts).values()] == [2, 2]
+    again = Lake(spark, str(tmp_path), prefix="whole_", layouts=layouts)
+    assert [again.table(t).first().v for t in layouts] == [2, 2]
+    with pytest.raises(LookupError, match="gold.c"):
+        again.committed("gold.c")
+
+
+def test_buckets_stop_at_the_number_that_is_allowed(spark, tmp_path, monkeypatch):
+    from snapfold.sources import lake as module
+
+    monkeypatch.setattr(module, "BUCKET_BYTES", 1)
+    lake = Lake(spark, str(tmp_path), prefix="most_", layouts={STATE: LAYOUTS[STATE]})
+    lake.publish({STATE: lake.by_key(STATE, state(spark, range(10)))})
+    name = "spark.sql.sources.bucketing.maxBuckets"
+    spark.conf.set(name, 20)
+    try:
+        assert lake.fit_buckets(STATE, like=STATE) == 16
+        lake.publish({STATE: lake.by_key(STATE, state(spark, range(20)))})
+    finally:
+        spark.conf.unset(name)
+    assert keys(lake) == list(range(20))
+
+
 def test_reopening_finds_the_last_commit(spark, lake):
     lake.publish({STATE: state(spark, [1])})
     lake.publish({STATE: state(spark, [2])})

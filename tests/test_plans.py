@@ -99,7 +99,7 @@ def test_splits_are_joined_to_records_without_shuffling_lines(spark, tmp_path):
     import csv
 
     path = write(tmp_path / "a.csv", nasty_records(50, 6), quoting=csv.QUOTE_ALL)
-    plan = physical(read_snapshot(spark, path, in_splits=True))
+    plan = physical(read_snapshot(spark, path))
     # From the top down to the lines of whole records: no exchange on the way.
     whole = plan[plan.index("Union") : plan.index("MapInArrow")]
     assert "Exchange" not in whole

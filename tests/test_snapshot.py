@@ -14,9 +14,8 @@ from snapfold.sources import snapshot
 from snapfold.sources.snapshot import read_snapshot
 
 COLUMNS = list(schemas.SNAPSHOT_COLUMNS)
-MODES = pytest.mark.parametrize("in_splits", [False, True], ids=["whole", "splits"])
-
-
+# Several stages that fail at once come as one error that PySpark does not translate.
+ERRORS = (PySparkException, Py4JJavaError)
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -46,13 +45,17 @@ def split_bytes(spark):
     spark.conf.set(name, before)
 
 
-@MODES
-def test_published_sample(spark, sample_csv, in_splits):
-    want = pd.read_csv(sample_csv, dtype=str).astype(object)
-    want = want.where(want.notna(), None)
-    got = read_snapshot(spark, sample_csv, in_splits=in_splits)
-    assert got.count() == 200 and got.columns == COLUMNS
-    assert rows(got) == sorted((tuple(r) for r in want.itertuples(index=False)), key=repr)
+@pytest.fixture(params=[30, 10**8], ids=["splits", "whole"])
+def cut(request, split_bytes):
+    """Files cut into many splits, or not at all: nothing else may differ."""
+    split_bytes(request.param)
+
+
+@pytest.mark.parametrize("size, n", [("128MB", 2**27), ("16m", 2**24), ("40b", 40), ("77", 77), ("1g", 2**30)])
+def test_split_sizes(spark, size, n):
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert snapshot._split_bytes(session) == n
 
 
 def nasty_records(n, seed):
@@ -71,7 +74,7 @@ def test_records_are_put_together_over_any_splits(spark, tmp_path, split_bytes,
     write(folder / "a.csv", first, eol=eol, quoting=csv.QUOTE_ALL)
     write(folder / "b.csv", second, eol=eol, quoting=csv.QUOTE_ALL)
     split_bytes(size)
-    got = read_snapshot(spark, str(folder), in_splits=True)
+    got = read_snapshot(spark, str(folder))
     assert rows(got) == expected(first + second)
 
 
@@ -80,66 +83,75 @@ def test_records_are_put_together_without_a_broadcast(spark, tmp_path, split_byt
     path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
     split_bytes(333)
     monkeypatch.setattr(snapshot, "MAX_BROADCAST_SPLITS", 0)
-    got = read_snapshot(spark, path, in_splits=True)
+    got = read_snapshot(spark, path)
     assert rows(got) == expected(records)
 
 
-def test_whole_files_agree_with_splits(spark, tmp_path):
-    records = nasty_records(200, 3)
-    path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
-    whole = rows(read_snapshot(spark, path, in_splits=False))
-    assert whole == rows(read_snapshot(spark, path, in_splits=True)) == expected(records)
-
-
-def test_large_files_are_read_in_splits(spark, tmp_path, split_bytes, monkeypatch):
-    path = write(tmp_path / "a.csv", nasty_records(100, 4), quoting=csv.QUOTE_ALL)
-    used = []
-    for name in ("_read_in_splits", "_read_whole_files"):
-        real = getattr(snapshot, name)
-        monkeypatch.setattr(
-            snapshot, name, lambda *a, real=real, name=name: used.append(name) or real(*a)
-        )
-    read_snapshot(spark, path)
-    split_bytes(500)
-    read_snapshot(spark, path)
-    assert used == ["_read_whole_files", "_read_in_splits"]
-
-
-@MODES
-def test_missing_value_tokens(spark, tmp_path, in_splits):
+@pytest.mark.parametrize("place", [0, 5, 11])
+def test_checks_hold_wherever_an_extra_column_stands(spark, tmp_path, cut, place):
+    header = [*COLUMNS[:place], "extra", *COLUMNS[place:]]
+    lines = [[str(i), *"abcdefg", "2020-01-01", "", "x"] for i in range(20)]
+    lines = [[*r[:place], "e", *r[place:]] for r in lines]
+    path = tmp_path / "a.csv"
+    good = write(path, lines, header)
+    assert read_snapshot(spark, good).count() == 20
+    write(path, [*lines, [*lines[0], "surplus"]], header)
+    with pytest.raises(PySparkException, match="too many fields"):
+        read_snapshot(spark, str(path)).select("employee_id").collect()
+    for at in (4, 9):
+        lines[at] = [x.replace("c", '5" pipe') for x in lines[at]]
+    path.write_text("\n".join(",".join(r) for r in [header, *lines]) + "\n")
+    with pytest.raises(ERRORS, match="quote is missing|too many fields"):
+        read_snapshot(spark, str(path)).select("employee_id").collect()
+
+
+def test_line_ends_may_differ_within_a_file(spark, tmp_path, cut):
+    path = tmp_path / "a.csv"
+    body = [f"{i},a,b,c,d,e,f,1,2020-01-01,,x{i}" for i in range(10)]
+    ends = ["\n", "\r\n"] * 5
+    path.write_bytes((",".join(COLUMNS) + "\n" + "".join(map(str.__add__, body, ends))).encode())
+    assert sorted(r.address for r in read_snapshot(spark, str(path)).collect()) == [f"x{i}" for i in range(10)]
+    path.write_bytes(('"' + '","'.join(COLUMNS) + '"\r\n1,a,b,c,d,e,f,1,2020-01-01,,"x\r\ny"\r\n').encode())
+    assert read_snapshot(spark, str(path)).first().address == "x\r\ny"
+
+
+def test_missing_value_tokens_are_those_of_pandas():
+    from pandas._libs.parsers import STR_NA_VALUES
+
+    assert set(schemas.NA_TOKENS) == STR_NA_VALUES
+
+
+def test_missing_value_tokens(spark, tmp_path, cut):
     records = [[str(i), token, f" {token}", *["v"] * 8] for i, token in enumerate(schemas.NA_TOKENS)]
     path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
-    got = read_snapshot(spark, path, in_splits=in_splits).collect()
+    got = read_snapshot(spark, path).collect()
     assert {r.first_name for r in got} == {None}
     assert {r.last_name for r in got} == {f" {t}" for t in schemas.NA_TOKENS}
 
 
-@MODES
-def test_columns_are_found_by_name(spark, tmp_path, in_splits):
+def test_columns_are_found_by_name(spark, tmp_path, cut):
     header = [*reversed(COLUMNS), "extra"]
     path = write(tmp_path / "a.csv", [[*(f"v{i}" for i in range(11)), "more"]], header)
-    got = read_snapshot(spark, path, in_splits=in_splits)
+    got = read_snapshot(spark, path)
     assert got.columns == COLUMNS
     assert tuple(got.first()) == tuple(f"v{i}" for i in range(10, -1, -1))
 
 
-@MODES
-def test_short_rows_blank_lines_and_surplus_values(spark, tmp_path, in_splits):
+def test_short_rows_blank_lines_and_surplus_values(spark, tmp_path, cut):
     path = tmp_path / "a.csv"
     path.write_text(",".join(COLUMNS) + "\n1,a\n\n2,b,c\n")
-    got = rows(read_snapshot(spark, str(path), in_splits=in_splits))
+    got = rows(read_snapshot(spark, str(path)))
     assert got == [("1", "a", *[None] * 9), ("2", "b", "c", *[None] * 8)]
     path.write_text(",".join(COLUMNS) + "\n" + ",".join("x" * 12) + "\n")
     with pytest.raises(PySparkException, match="too many fields"):
-        read_snapshot(spark, str(path), in_splits=in_splits).collect()
+        read_snapshot(spark, str(path)).collect()
 
 
-@MODES
-def test_header_of_every_file_must_agree(spark, tmp_path, in_splits):
+def test_header_of_every_file_must_agree(spark, tmp_path, cut):
     write(tmp_path / "a.csv", [["1", *"abcdefghij"]])
     write(tmp_path / "b.csv", [["2", *"abcdefghij"]], [COLUMNS[1], COLUMNS[0], *COLUMNS[2:]])
-    with pytest.raises((PySparkException, Py4JJavaError), match="header"):
-        read_snapshot(spark, str(tmp_path), in_splits=in_splits).collect()
+    with pytest.raises(ERRORS, match="header"):
+        read_snapshot(spark, str(tmp_path)).collect()
 
 
 def test_missing_column_and_missing_file(spark, tmp_path):
@@ -150,33 +162,29 @@ def test_missing_column_and_missing_file(spark, tmp_path):
         read_snapshot(spark, str(tmp_path / "nowhere.csv"))
 
 
-def test_lost_quote_is_reported(spark, tmp_path, split_bytes, monkeypatch):
-    monkeypatch.setattr(snapshot, "MAX_SHARED_RECORD", 200)
-    path = tmp_path / "a.csv"
-    body = "".join(f"{i},a,b,c,d,e,f,1,2020-01-01,,x\n" for i in range(200))
-    path.write_text(",".join(COLUMNS) + '\n0,"a,b,c,d,e,f,1,2020-01-01,,x\n' + body)
-    split_bytes(300)
-    with pytest.raises(PySparkException, match="quote is missing"):
-        read_snapshot(spark, str(path), in_splits=True).collect()
+def test_too_long_records_are_refused(spark, tmp_path, cut, monkeypatch):
+    monkeypatch.setattr(snapshot, "MAX_RECORD", 200)
+    records = [[str(i), *"abcdefghi", "x"] for i in range(20)]
+    path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
+    assert read_snapshot(spark, path).count() == 20
+    records[7][-1] = "line\n" * 60
+    path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
+    with pytest.raises(PySparkException, match="too long"):
+        read_snapshot(spark, path).collect()
 
 
 @pytest.mark.parametrize("stray", [[3], [5, 6], [0, 19], [2, 9, 11]])
-def test_stray_quotes_do_not_lose_lines(spark, tmp_path, stray):
-    """Whole files keep them as they are; reading in splits refuses them."""
+def test_stray_quotes_are_refused(spark, tmp_path, cut, stray):
     lines = [f"{i},a,b,c,d,e,f,1,2020-01-01,,x" for i in range(20)]
     for i in stray:
         lines[i] = lines[i].replace(",c,", ',5" pipe,')
     path = tmp_path / "a.csv"
     path.write_text("\n".join([",".join(COLUMNS), *lines]) + "\n")
-    got = read_snapshot(spark, str(path), in_splits=False)
-    assert got.count() == 20
-    assert got.where("department = '5\" pipe'").count() == len(stray)
-    with pytest.raises(PySparkException, match="quote is missing|too many fields"):
-        read_snapshot(spark, str(path), in_splits=True).collect()
+    with pytest.raises(ERRORS, match="quote is missing|too many fields"):
+        read_snapshot(spark, str(path)).collect()
 
 
-@MODES
-def test_byte_order_mark_and_compression(spark, tmp_path, in_splits):
+def test_byte_order_mark_and_compression(spark, tmp_path, cut):
     import gzip
 
     text = ",".join(COLUMNS) + "\n1," + ",".join("a" * 10) + "\n"
@@ -184,5 +192,5 @@ def test_byte_order_mark_and_compression(spark, tmp_path, in_splits):
     plain.write_bytes(b"\xef\xbb\xbf" + text.encode())
     packed.write_bytes(gzip.compress(text.encode()))
     for path in (plain, packed):
-        got = rows(read_snapshot(spark, str(path), in_splits=in_splits))
+        got = rows(read_snapshot(spark, str(path)))
         assert got == [("1", *"aaaaaaaaaa")]
