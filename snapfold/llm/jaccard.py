@@ -20,10 +20,11 @@ shares as many prefix shingles as the smaller of its two numbers.
    components; what is in one component needs no further look.  So a large group of near copies
    costs its size, not its square.  While lists still hold many pairs of different components, other
    documents are made first (`PIVOT_ROUNDS` times at most).
-5. All pairs of different components that are left, by the multi-match rule.
+5. All pairs of different components that are left, by the multi-match rule, if what they share in
+   their prefixes leaves room for the overlap they need (`may_link`).
 
-Verification is exact on 64-bit shingle hashes; it moves the sets of the documents that have
-candidates, to blocks of at most about BLOCK members of one first document.
+Verification is exact on 64-bit shingle hashes; it moves the sets of the documents that are in
+pairs, to blocks of at most about BLOCK members of one first document.
 
 Words are runs of `[^\\x20\\x09-\\x0D]`, A-Z lower-cased.  A text with fewer words than a shingle
 is one shingle.  Null texts and texts without words are empty and linked with nothing.
@@ -40,7 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapfold.llm.arrays import summed_arrays
@@ -102,6 +103,7 @@ class Order:
     """Counts of shingles by counter: rough document frequencies, and what chance adds to them."""
 
     counts: np.ndarray
+    chance: float
 
     @classmethod
     def of(cls, docs: DataFrame, size: int) -> Order:
@@ -110,16 +112,16 @@ class Order:
             if found:
                 total += np.bincount((np.concatenate(found) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
 
-        return cls(summed_arrays(docs.select("text"), count, COUNTERS))
+        counts = summed_arrays(docs.select("text"), count, COUNTERS)
+        return cls(counts, float(counts.mean()))
 
     def frequencies(self, shingles: np.ndarray) -> np.ndarray:
-        chance = self.counts.mean()
-        return 1.0 + np.maximum(0.0, self.counts[(shingles % np.uint64(COUNTERS)).astype(np.int64)] - chance)
+        return 1.0 + np.maximum(0.0, self.counts[(shingles % np.uint64(COUNTERS)).astype(np.int64)] - self.chance)
 
     def sort(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The shingles, rare ones first, and their frequencies.  Levels are wider than chance."""
         frequency = self.frequencies(shingles)
-        level = np.log2(1 + frequency / (8 + 4 * np.sqrt(self.counts.mean()))).astype(np.int64)
+        level = np.log2(1 + frequency / (8 + 4 * np.sqrt(self.chance))).astype(np.int64)
         order = np.lexsort((shingles, level))
         return shingles[order], frequency[order]
 
@@ -178,11 +180,11 @@ def representatives(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", "digest", "of.n", "of.matches", "of.prefix")
 
 
-LISTS = "token long, doc long, n long, matches int, first long, first_n long"
+LISTS = "token long, doc long, n long, matches int, first long, first_n long, first_matches int"
 
 
 def lists(represented: DataFrame) -> DataFrame:
-    """(token, doc, n, matches, first, first_n): entries of the prefix lists of two or more documents."""
+    """Entries of the prefix lists that two or more documents share, and the first document of each."""
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,28 +206,30 @@ def lists(represented: DataFrame) -> DataFrame:
             token, doc, n, matches = (batch.column(c).to_numpy() for c in ("token", "doc", "n", "matches"))
             starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             firsts = np.repeat(starts, np.diff(np.append(starts, len(token))))
-            first, first_n = doc[firsts], n[firsts]
+            first, first_n, first_matches = doc[firsts], n[firsts], matches[firsts]
             again = firsts != np.arange(len(token))
             if held is not None:
                 if held[0] == token[0]:  # the list goes on
                     end = starts[1] if len(starts) > 1 else len(token)
                     first = np.append(np.full(end, held[4]), first[end:])
                     first_n = np.append(np.full(end, held[5]), first_n[end:])
+                    first_matches = np.append(np.full(end, held[6]), first_matches[end:])
                     again = again | (np.arange(len(token)) < end)
-                if held[0] == token[0] or held[6]:
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(held[:6], kinds, strict=True)], names=names)
+                if held[0] == token[0] or held[7]:
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(held[:7], kinds, strict=True)], names=names)
             several = again | np.append(again[1:], False)
             keep = np.flatnonzero(several[:-1])
             if len(keep):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[keep], t) for x, t in zip((token, doc, n, matches, first, first_n), kinds, strict=True)], names=names
+                    [pa.array(x[keep], t) for x, t in zip((token, doc, n, matches, first, first_n, first_matches), kinds, strict=True)],
+                    names=names,
                 )
-            held = (token[-1], doc[-1], n[-1], matches[-1], first[-1], first_n[-1], bool(again[-1]))
-        if held is not None and held[6]:
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(held[:6], kinds, strict=True)], names=names)
+            held = (token[-1], doc[-1], n[-1], matches[-1], first[-1], first_n[-1], first_matches[-1], bool(again[-1]))
+        if held is not None and held[7]:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(held[:7], kinds, strict=True)], names=names)
 
-    names = ["token", "doc", "n", "matches", "first", "first_n"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    names = ["token", "doc", "n", "matches", "first", "first_n", "first_matches"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
     entries = represented.select("doc_id", "n", "matches", "prefix").mapInArrow(unfold, "token long, doc long, n long, matches int")
     return entries.repartition("token").sortWithinPartitions("token", "doc").mapInArrow(shared, LISTS)
 
@@ -244,12 +248,15 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return chosen.mapInArrow(run, "doc long, items binary")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets link.
 
-    A set `a` meets its `b`s in blocks of about BLOCK, so an `a` with many of them is
-    dealt to many tasks.
+    Only documents in pairs have their sets computed.  A set `a` meets its `b`s in blocks of
+    about BLOCK, so an `a` with many of them is dealt to many tasks.
     """
+    pairs = staged(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = sets_of(docs, staged(ids, "pair-ids"), size).dropDuplicates(["doc"])
     blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     dealt = pairs.join(blocks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
     dealt = dealt.alias("p")
@@ -287,13 +294,34 @@ def fits(percent: int):
     return 100 * low >= percent * high
 
 
+def may_link(percent: int) -> Column:
+    """Whether sets that share `shared` prefix shingles can link.
+
+    A common shingle outside both prefixes lies behind the prefix that ends first, so the overlap is
+    at most `shared` and what is behind one of the prefixes.
+    """
+
+    def behind(n: str, matches: str) -> Column:
+        return F.floor((F.col(n) * percent + 99) / 100) - F.col(matches)
+
+    most = F.col("shared") + F.greatest(behind("n", "matches"), behind("other_n", "other_matches"))
+    return (100 + percent) * most >= percent * (F.col("n") + F.col("other_n"))
+
+
 def first_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): of every document the FIRSTS first documents it shares most lists with."""
+    """(a, b): of every document the FIRSTS first documents it shares most lists with.
+
+    A first document may share further lists, in which another is the first.  So pairs that could
+    link may be left out here; step 5 finds them.
+    """
     shared = (
-        entries.where("doc <> first").withColumnRenamed("first_n", "other_n").where(fits(percent))
-        .groupBy("doc", "first").count()
+        entries.where("doc <> first")
+        .withColumnRenamed("first_n", "other_n").withColumnRenamed("first_matches", "other_matches")
+        .where(fits(percent))
+        .groupBy("doc", "first", "n", "matches", "other_n", "other_matches").agg(F.count("*").alias("shared"))
+        .where(may_link(percent))
     )
-    best = Window.partitionBy("doc").orderBy(F.desc("count"), "first")
+    best = Window.partitionBy("doc").orderBy(F.desc("shared"), "first")
     return shared.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= FIRSTS).select(
         F.col("first").alias("a"), F.col("doc").alias("b")
     )
@@ -310,23 +338,25 @@ def open_lists(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def pivots(entries: DataFrame, round_number: int) -> DataFrame:
     """The open lists with another first document each."""
-    draw = F.min(F.struct(F.xxhash64("doc", F.lit(round_number)).alias("h"), "doc", "n", "component")).alias("pivot")
+    draw = F.min(F.struct(F.xxhash64("doc", F.lit(round_number)).alias("h"), "doc", "n", "matches", "component")).alias("pivot")
     chosen = entries.groupBy("token").agg(draw)
     return entries.join(chosen, "token").where("component <> pivot.component").select(
-        "token", "doc", "n", F.col("pivot.doc").alias("first"), F.col("pivot.n").alias("first_n")
+        "token", "doc", "n", "matches",
+        F.col("pivot.doc").alias("first"), F.col("pivot.n").alias("first_n"), F.col("pivot.matches").alias("first_matches"),
     )
 
 
 def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of different components that share as many prefix shingles as they must."""
-    left = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("doc", "n", "matches", "component")])
-    right = entries.withColumnRenamed("n", "other_n")
-    pairs = (
-        left.withColumnRenamed("n_a", "n").join(right.withColumnRenamed("doc", "b"), "token")
-        .where((F.col("doc_a") < F.col("b")) & (F.col("component_a") != F.col("component")) & fits(percent))
+    left = entries.select("token", F.col("doc").alias("a"), "n", "matches", "component")
+    right = entries.select(
+        "token", F.col("doc").alias("b"), F.col("n").alias("other_n"), F.col("matches").alias("other_matches"),
+        F.col("component").alias("other_component"),
     )
-    counted = pairs.groupBy("doc_a", "b").agg(F.count("*").alias("shared"), F.min(F.least("matches_a", "matches")).alias("must"))
-    return counted.where("shared >= must").select(F.col("doc_a").alias("a"), "b")
+    pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other_component")) & fits(percent))
+    counted = pairs.groupBy("a", "b", "n", "matches", "other_n", "other_matches").agg(F.count("*").alias("shared"))
+    enough = F.col("shared") >= F.least("matches", "other_matches")
+    return counted.where(enough & may_link(percent)).select("a", "b")
 
 
 def _pair_count(entries: DataFrame) -> tuple[int, int]:
@@ -344,10 +374,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     documents = staged(prefixes(docs, size, percent), "prefixes")
     represented = staged(representatives(documents), "representatives")
     entries = staged(lists(represented), "lists")
-    ids = entries.select(F.col("doc").alias("doc_id")).distinct()
-    sets = staged(sets_of(docs, ids, size).dropDuplicates(["doc"]), "sets")
-
-    links = staged(linked(first_pairs(entries, percent), sets, percent), "linked")
+    links = staged(linked(first_pairs(entries, percent), docs, size, percent), "linked")
     labels = components(links)
     for round_number in range(PIVOT_ROUNDS + 1):
         left = staged(open_lists(entries, labels), "open")
@@ -356,7 +383,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
             break
         last = pairs <= OPEN_PAIRS * count or round_number == PIVOT_ROUNDS
         candidates = open_pairs(left, percent) if last else first_pairs(pivots(left, round_number), percent)
-        links = links.unionByName(staged(linked(candidates, sets, percent), "linked"))
+        links = links.unionByName(staged(linked(candidates, docs, size, percent), "linked"))
         labels = components(links)
         if last:
             break
