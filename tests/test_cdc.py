@@ -288,3 +288,28 @@ def test_single_pass_equals_database_statements(spark, seed):
         spark.createDataFrame(incoming, SCHEMA), spark.createDataFrame(current, SCHEMA), as_of=T
     )
     assert rows(got) == in_a_database(incoming, current, T)
+
+
+def test_one_pass_forms_equal_the_statements(pair):
+    incoming, current = pair
+    changes = cdc.classify(incoming, current)
+    settled = cdc.settle(incoming, current, as_of=T)
+    assert rows(cdc.updated_rows(settled)) == rows(cdc.apply_updates(current, changes, as_of=T))
+    assert rows(cdc.surviving_rows(incoming, current)) == rows(cdc.apply_deletes(current, changes))
+    again = cdc.classify(incoming, cdc.apply_changes(incoming, current, as_of=T))
+    left = cdc.left_over(incoming, current, as_of=T)
+    assert rows(left) == rows(again.select("employee_id", cdc.ACTION))
+
+
+@pytest.mark.parametrize("name", ["cdc_update", "cdc_delete", "cdc_redetect"])
+def test_queries_join_incoming_and_current_once(spark, sf_dir, name):
+    from snapfold.plans.registry import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    physical = plan.split("== Physical Plan ==")[1]
+    # Up to two joins build the inputs, of orders and their lines.
+    assert 2 <= physical.count("SortMergeJoin") <= 3
