@@ -1,7 +1,7 @@
 """Token-id files: every document compressed on its own against one shared dictionary.
 
 A dataset is a folder of shard files in ascending doc_id order and one zstandard dictionary,
-`<sha256>.dict`, trained on serialized id arrays of a bounded sample of documents.  A shard:
+`<sha256>.dict`, trained on serialized id arrays of a bounded sample of documents (SAMPLE_DOCS).  A shard:
 
     magic (8 bytes)
     one zstandard frame per document: its ids, end id last, little-endian
@@ -76,7 +76,11 @@ def _dictionary(data: bytes):
 
 
 def sample_items(docs: DataFrame, tokenizer: str, end_id: int, id_type: str, most: int = SAMPLE_DOCS) -> list[bytes]:
-    """Serialized ids of the documents with the smallest hashes, at most `most` of them."""
+    """Serialized ids of documents drawn by a hash of their ids, at most `most` of them.
+
+    The share that is drawn follows from the number of rows, so no task sorts or collects more
+    texts than are drawn.
+    """
 
     def serialize(batches):
         for batch in batches:
@@ -85,7 +89,10 @@ def sample_items(docs: DataFrame, tokenizer: str, end_id: int, id_type: str, mos
                 items = [x[at : at + SAMPLE_IDS].astype(id_type).tobytes() for x in ids for at in range(0, len(x), SAMPLE_IDS)]
                 yield pa.RecordBatch.from_arrays([pa.array(items, pa.binary())], names=["item"])
 
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most).select("text")
+    rows = docs.count()
+    share = 1.0 if rows <= most else 0.9 * most / rows
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    chosen = docs.select("doc_id", "text").where(drawn).orderBy("doc_id", "text").limit(most).select("text")
     return sorted(bytes(r.item) for r in chosen.mapInArrow(serialize, "item binary").collect())
 
 
