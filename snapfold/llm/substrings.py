@@ -57,8 +57,29 @@ def sliding(values: np.ndarray, width: int, choose) -> np.ndarray:
     return choose(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def thinned(at: np.ndarray, hashes: np.ndarray, texts: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of the anchors to keep, where a text has many of one hash close together.
+
+    One between two others at most `width` apart is in no window without them.
+    """
+    kept = np.lexsort((at, hashes, texts))
+    idle, odd = 0, 1
+    while idle < 2 and len(kept) > 2:
+        p, h, t = at[kept], hashes[kept], texts[kept]
+        same = (h[1:] == h[:-1]) & (t[1:] == t[:-1])
+        drop = np.zeros(len(kept), dtype=bool)
+        drop[1:-1] = same[:-1] & same[1:] & (p[2:] - p[:-2] <= width)
+        drop[odd::2] = False  # never two neighbours at once
+        idle = 0 if drop.any() else idle + 1
+        kept, odd = kept[~drop], 1 - odd
+    return np.sort(kept)
+
+
 def anchors_of(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers and hashes of the anchors of all texts."""
+    """Word numbers and hashes of the anchors of all texts.
+
+    Every window holds one with the least hash of its grams.
+    """
     at, hashes = words.grams(gram)
     width = window - gram + 1
     if len(at) < width:
@@ -69,7 +90,9 @@ def anchors_of(words: Words, window: int, gram: int) -> tuple[np.ndarray, np.nda
     least[~whole] = 0
     padded = np.concatenate([np.zeros(width - 1, least.dtype), least, np.zeros(width - 1, least.dtype)])
     chosen = (sliding(padded, width, np.maximum) == hashes) & (hashes != 0)
-    return at[chosen], hashes[chosen]
+    at, hashes = at[chosen], hashes[chosen]
+    kept = thinned(at, hashes, np.searchsorted(words.first, at, "right"), width)
+    return at[kept], hashes[kept]
 
 
 def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
