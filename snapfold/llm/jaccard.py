@@ -18,8 +18,8 @@ shares as many prefix shingles as the smaller of its two numbers.
    table of lists.
 4. Documents are verified against the first documents of their lists.  Links found make
    components; what is in one component needs no further look.  So a large group of near copies
-   costs its size, not its square.  While lists still hold many pairs of different components, other
-   documents are made first (`PIVOT_ROUNDS` times at most).
+   costs its size, not its square.  While lists still hold many pairs of different components and
+   that helps, other documents are made first (`PIVOT_ROUNDS` times at most).
 5. All pairs of different components that are left, by the multi-match rule, if what they share in
    their prefixes leaves room for the overlap they need (`may_link`).
 
@@ -55,7 +55,7 @@ VERIFY_COST = 20.0  # of a candidate, in lookups of a list entry
 BLOCK = 256
 FIRSTS = 2  # first documents that a document is verified against in a round
 PIVOT_ROUNDS = 4
-OPEN_PAIRS = 8  # pairs per list entry that step 5 takes on without a further round of 4
+OPEN_PAIRS = 100  # pairs per list entry that step 5 takes on without a further round of 4
 BROADCAST_IDS = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -294,8 +294,8 @@ def fits(percent: int):
     return 100 * low >= percent * high
 
 
-def may_link(percent: int) -> Column:
-    """Whether sets that share `shared` prefix shingles can link.
+def may_link(percent: int, shared: Column | None = None) -> Column:
+    """Whether sets that share at most `shared` prefix shingles can link.
 
     A common shingle outside both prefixes lies behind the prefix that ends first, so the overlap is
     at most `shared` and what is behind one of the prefixes.
@@ -304,7 +304,7 @@ def may_link(percent: int) -> Column:
     def behind(n: str, matches: str) -> Column:
         return F.floor((F.col(n) * percent + 99) / 100) - F.col(matches)
 
-    most = F.col("shared") + F.greatest(behind("n", "matches"), behind("other_n", "other_matches"))
+    most = (F.col("shared") if shared is None else shared) + F.greatest(behind("n", "matches"), behind("other_n", "other_matches"))
     return (100 + percent) * most >= percent * (F.col("n") + F.col("other_n"))
 
 
@@ -333,7 +333,10 @@ def open_lists(entries: DataFrame, labels: DataFrame) -> DataFrame:
         "token", "doc", "n", "matches", F.coalesce("component", "doc").alias("component")
     )
     several = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return named.join(several.select("token"), "token")
+    # `entries`: in how many open lists a document is, which bounds what it shares with any other.
+    return named.join(several.select("token"), "token").withColumn(
+        "entries", F.count("*").over(Window.partitionBy("doc"))
+    )
 
 
 def pivots(entries: DataFrame, round_number: int) -> DataFrame:
@@ -348,12 +351,14 @@ def pivots(entries: DataFrame, round_number: int) -> DataFrame:
 
 def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of different components that share as many prefix shingles as they must."""
-    left = entries.select("token", F.col("doc").alias("a"), "n", "matches", "component")
+    left = entries.select("token", F.col("doc").alias("a"), "n", "matches", "component", "entries")
     right = entries.select(
         "token", F.col("doc").alias("b"), F.col("n").alias("other_n"), F.col("matches").alias("other_matches"),
-        F.col("component").alias("other_component"),
+        F.col("component").alias("other_component"), F.col("entries").alias("other_entries"),
     )
-    pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other_component")) & fits(percent))
+    most = F.least("entries", "other_entries")
+    possible = fits(percent) & (most >= F.least("matches", "other_matches")) & may_link(percent, most)
+    pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other_component")) & possible)
     counted = pairs.groupBy("a", "b", "n", "matches", "other_n", "other_matches").agg(F.count("*").alias("shared"))
     enough = F.col("shared") >= F.least("matches", "other_matches")
     return counted.where(enough & may_link(percent)).select("a", "b")
@@ -376,12 +381,16 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     entries = staged(lists(represented), "lists")
     links = staged(linked(first_pairs(entries, percent), docs, size, percent), "linked")
     labels = components(links)
+    before = None
     for round_number in range(PIVOT_ROUNDS + 1):
         left = staged(open_lists(entries, labels), "open")
         count, pairs = _pair_count(left)
         if not pairs:
             break
-        last = pairs <= OPEN_PAIRS * count or round_number == PIVOT_ROUNDS
+        # A round that leaves more than half of the pairs shows that they are no near copies.
+        idle = before is not None and 2 * pairs > before
+        last = pairs <= OPEN_PAIRS * count or round_number == PIVOT_ROUNDS or idle
+        before = pairs
         candidates = open_pairs(left, percent) if last else first_pairs(pivots(left, round_number), percent)
         links = links.unionByName(staged(linked(candidates, docs, size, percent), "linked"))
         labels = components(links)
