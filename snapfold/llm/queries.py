@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import chat, jaccard, language, linededup, mixing, neighbours, packing, quality, substrings, tokenfiles
+from snapfold.llm import (
+    chat, convnet, jaccard, language, linededup, merkle, mixing, neighbours, packing, phrases, quality, substrings, tokenfiles,
+)
+from snapfold.llm.oracles import ORACLES as LATER_ORACLES
+from snapfold.llm.textcols import lower_ascii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +85,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(written)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = convnet.fit(docs, _table(spark, sf_dir, "labels"))
+    return convnet.scored(docs, net).select(
+        "doc_id", convnet.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    docs = _table(spark, sf_dir, "documents")
+    return merkle.prove(merkle.build(docs, {"text": F.when(tampered, lower_ascii(F.col("text")))}))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_language_id": op2_language_id,
@@ -92,11 +114,15 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
+    **LATER_ORACLES,
     "op6_source_mixing": rf"""
 WITH sizes AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size FROM documents),
