@@ -10,15 +10,16 @@ another has 100 * f(longer) >= `covered` * f.
 Counting.  No part of a candidate is rarer than the candidate, so only phrases with f >= `least`
 matter.  Two passes over the texts fill saturating counters of hashed phrases, first of words and
 pairs, then of longer phrases whose pairs all pass.  A counter below `least` proves a phrase to be
-rare; the others are counted exactly, as texts.  The counters' number follows the size of the table
-(up to MOST_COUNTERS); they decide how much is counted, never what comes out.
+rare; the others are counted exactly.  The counters' number follows the size of the table (up to
+MOST_COUNTERS); they decide how much is counted, never what comes out.  A task counts in arrays and hands
+on sorted, compressed runs of phrases and counts, dealt by first word; a run's reader adds up equal phrases.
 
 Streams.  The counts are kept as one stream in prefix order (by first word, second word ...) and
 one in suffix order (by last word, last but one ...).  In prefix order the prefixes of a phrase are the
 phrases still open when it arrives: one walk gives f of every first part and the largest count of an
 extension to the right.  In suffix order it gives f of every rest and the extensions to the left.  An
-extension by several words is no more frequent than the one-word extension in it, so those decide.  There
-is no hash table of phrases: a walk holds LONGEST phrases.
+extension by several words is no more frequent than the one-word extension in it, so those decide.  No
+table of phrases is looked up: a walk holds LONGEST phrases.
 
 Numbers are exact.  Null and empty texts have no words.  Rows without an id count, repeated rows count each.
 A language without candidates gives no rows.  Other columns are ignored.
@@ -49,7 +50,7 @@ SCALE = 2_000_000
 NO_LANGUAGE = "und"
 BYTES_PER_COUNTER = 64
 LEAST_COUNTERS, MOST_COUNTERS = 1 << 16, 1 << 27
-HELD_PHRASES = 400_000  # a task hands on its counts when it holds so many
+HELD_PHRASES = 600_000  # a task hands on its counts when it holds so many
 PARTS = 16
 
 _BREAKS = np.zeros(256, dtype=bool)
@@ -210,25 +211,101 @@ def frequent_filter(docs: DataFrame, least: int) -> Filter:
     return Filter(size, least, short.short, _counters(docs, size, least, count_long))
 
 
-def counted(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, f): all phrases of 1 to LONGEST words with f >= least, and (lang, '', number of words)."""
-    docs = docs.select(F.col("lang").cast("string").alias("lang"), "text")
-    known = docs.sparkSession.sparkContext.broadcast(frequent_filter(docs, least))
-    names = ["lang", "phrase", "f"]
+def gathered(data: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of the given ranges one after another."""
+    before = np.cumsum(lengths) - lengths
+    return data[np.repeat(begins - before, lengths) + np.arange(int(lengths.sum()))]
+
+
+class _Counts:
+    """Counts of the phrases of one language by hash, with their words joined by single spaces."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.rows = 0
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, bucket: np.ndarray, lengths: np.ndarray, data: np.ndarray) -> None:
+        self.parts.append((hashes, counts, bucket, lengths, data))
+        self.rows += len(hashes)
+
+    def combine(self) -> None:
+        if len(self.parts) < 2:
+            return
+        hashes, counts, bucket, lengths, data = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        found, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        total = np.zeros(len(found), dtype=np.int64)
+        np.add.at(total, which, counts)
+        begins = np.cumsum(lengths) - lengths
+        data = gathered(data, begins[at], lengths[at])
+        self.clear()
+        self.add(found, total, bucket[at], lengths[at], data)
+
+    def runs(self) -> Iterator[tuple[int, bytes]]:
+        """Bucket and packed run, sorted by phrase, of all that is held."""
+        self.combine()
+        if not self.rows:
+            return
+        _, counts, bucket, lengths, data = self.parts[0]
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        texts = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        order = pc.sort_indices(pa.table({"bucket": bucket, "phrase": texts}), [("bucket", "ascending"), ("phrase", "ascending")])
+        order = order.to_numpy()
+        counts, bucket, lengths, begins = counts[order], bucket[order], lengths[order], offsets[:-1][order]
+        borders = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        for x, y in zip(borders, np.append(borders[1:], len(bucket))):
+            yield int(bucket[x]), packed_run(counts[x:y], lengths[x:y], gathered(data, begins[x:y], lengths[x:y]))
+
+
+def packed_run(counts: np.ndarray, lengths: np.ndarray, data: np.ndarray) -> bytes:
+    raw = np.array([len(counts)], "<i8").tobytes() + counts.astype("<i8").tobytes() + lengths.astype("<i8").tobytes() + data.tobytes()
+    return np.array([len(raw)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked_run(packed: bytes) -> pa.Table:
+    size = int(np.frombuffer(packed, "<i8", 1)[0])
+    raw = pa.decompress(packed[8:], size, codec="zstd", asbytes=True)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    counts, lengths = np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<i8", n, 8 + 8 * n)
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    texts = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw[8 + 16 * n :])])
+    return pa.table({"phrase": texts, "f": pa.array(counts)})
+
+
+def runs_of(docs: DataFrame, filters: Filter, buckets: int) -> DataFrame:
+    """(lang, bucket, run): a task's counts of phrases that may be frequent, as sorted runs by the hash of the
+    first word; bucket -1 has the number of words."""
+    known = docs.sparkSession.sparkContext.broadcast(filters)  # one byte a counter
+    names = ["lang", "bucket", "run"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list] = {}
+        held: dict[str, _Counts] = {}
         words: dict[str, int] = {}
 
-        def out() -> pa.RecordBatch:
-            columns = [k[0] for k in held], [v[0] for v in held.values()], [v[1] for v in held.values()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=names)
+        def out(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.binary()), strict=True)], names=names)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for language, counts in held.items():
+                rows = [(language, *r) for r in counts.runs()]
+                if rows:
+                    yield out(rows)
+                counts.clear()
 
         for language, key, pieces in by_language(batches):
+            own = held.setdefault(language, _Counts(buckets))
             words[language] = words.get(language, 0) + len(pieces.hashes)
             filters = known.value
             pairs = filters.with_pairs(pieces, key)
-            raw = pieces.data.tobytes()
+            sizes = pieces.ends - pieces.starts
+            # The words one after another, a space between any two.
+            begins = np.cumsum(sizes + 1) - sizes - 1
+            data = np.full(int(begins[-1] + sizes[-1]) if len(sizes) else 0, 0x20, dtype=np.uint8)
+            data[gathered(np.arange(len(data)), begins, sizes)] = gathered(pieces.data, pieces.starts, sizes)
             for n in range(1, LONGEST + 1):
                 at, hashes = pieces.phrases(n, key)
                 keep = filters.frequent(hashes, n)
@@ -236,26 +313,66 @@ def counted(docs: DataFrame, least: int = LEAST) -> DataFrame:
                     keep &= np.logical_and.reduce([pairs[at + i] for i in range(n - 1)])
                 found, first, counts = np.unique(hashes[keep], return_index=True, return_counts=True)
                 first = at[keep][first]
-                begins = [pieces.starts[first + i].tolist() for i in range(n)]
-                closes = [pieces.ends[first + i].tolist() for i in range(n)]
-                for j, (h, c) in enumerate(zip(found.tolist(), counts.tolist(), strict=True)):
-                    slot = held.get((language, h))
-                    if slot is None:
-                        text = b" ".join(raw[b[j] : e[j]] for b, e in zip(begins, closes, strict=True)).decode()
-                        held[language, h] = [text, c]
-                    else:
-                        slot[1] += c
-            if len(held) >= HELD_PHRASES:
-                yield out()
-                held.clear()
-        for i, (language, n) in enumerate(words.items()):
-            held[language, -1 - i] = ["", n]
-        if held:
-            yield out()
-
-    rows = docs.mapInArrow(run, "lang string, phrase string, f long")
-    total = rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return total.where((F.col("f") >= least) | (F.col("phrase") == ""))
+                last = first + n - 1
+                lengths = begins[last] + sizes[last] - begins[first]
+                bucket = (mixed(pieces.hashes[first]) % np.uint64(buckets)).astype(np.int32)
+                own.add(found, counts, bucket, lengths, gathered(data, begins[first], lengths))
+            if sum(len(c.parts) for c in held.values()) >= 64:
+                for counts in held.values():
+                    counts.combine()
+                if sum(c.rows for c in held.values()) >= HELD_PHRASES:
+                    yield from flush()
+        yield from flush()
+        totals = [(x, -1, packed_run(np.array([n]), np.array([0]), np.zeros(0, np.uint8))) for x, n in words.items()]
+        if totals:
+            yield out(totals)
+
+    return docs.mapInArrow(run, "lang string, bucket int, run binary")
+
+
+def merged(runs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, f) from the runs: counts of equal phrases added up, bucket by bucket; rare ones go."""
+
+    def add_up(tables: list[pa.Table]) -> pa.Table:
+        total = pa.concat_tables(tables).group_by("phrase").aggregate([("f", "sum")])
+        return total.select(["phrase", "f_sum"]).rename_columns(["phrase", "f"])
+
+    def close(key: tuple[str, int], tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        total = add_up(tables)
+        if key[1] >= 0:
+            total = total.filter(pc.greater_equal(total["f"], least))
+        for batch in total.combine_chunks().to_batches(max_chunksize=65536):
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(key[0], batch.num_rows), batch.column("phrase").cast(pa.string()), batch.column("f")],
+                names=["lang", "phrase", "f"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, tables, rows = None, [], 0
+        for batch in batches:
+            for language, bucket, packed in zip(*(batch.column(c) for c in ("lang", "bucket", "run")), strict=True):
+                own = language.as_py(), bucket.as_py()
+                if own != key:
+                    if key is not None:
+                        yield from close(key, tables)
+                    key, tables, rows = own, [], 0
+                tables.append(unpacked_run(packed.as_buffer().to_pybytes()))
+                rows += tables[-1].num_rows
+                if rows >= 2 * HELD_PHRASES:
+                    tables = [add_up(tables)]
+                    rows = tables[0].num_rows // 2  # what stays may be much: add up again when it has doubled
+        if key is not None:
+            yield from close(key, tables)
+
+    dealt = runs.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket")
+    return dealt.mapInArrow(run, "lang string, phrase string, f long")
+
+
+def counted(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """(lang, phrase, f): all phrases of 1 to LONGEST words with f >= least, and (lang, '', number of words)."""
+    docs = docs.select(F.col("lang").cast("string").alias("lang"), "text")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return merged(runs_of(docs, frequent_filter(docs, least), buckets), least)
 
 
 class _Walk:
