@@ -61,10 +61,6 @@ def _roster_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     return write_snapshot(inputs.raw_roster(spark, sf_dir), scratch_dir(spark, name))
 
 
-def csv_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_snapshot(spark, _roster_files(spark, sf_dir, "csv_snapshot"))
-
-
 def small_splits(spark: SparkSession) -> SparkSession:
     """A session that cuts files every 256 KB."""
     session = configure(spark.newSession())
@@ -72,11 +68,28 @@ def small_splits(spark: SparkSession) -> SparkSession:
     return session
 
 
-def csv_snapshot_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files, cut anywhere, with a column ahead that the snapshot does not have."""
+def _more_files(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The same files with a column ahead that the snapshot does not have."""
     rows = inputs.raw_roster(spark, sf_dir).select(F.lit("more").alias("extra"), "*")
-    path = write_snapshot(rows, scratch_dir(spark, "csv_snapshot_in_splits"))
-    return read_snapshot(small_splits(spark), path)
+    return write_snapshot(rows, scratch_dir(spark, name))
+
+
+# The scans: how their files are written, and how they are read.
+SCANS = {
+    "csv_snapshot": (_roster_files, read_snapshot),
+    "csv_snapshot_in_splits": (_more_files, lambda spark, path: read_snapshot(small_splits(spark), path)),
+}
+
+
+def csv_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    write, read = SCANS["csv_snapshot"]
+    return read(spark, write(spark, sf_dir, "csv_snapshot"))
+
+
+def csv_snapshot_in_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files cut anywhere."""
+    write, read = SCANS["csv_snapshot_in_splits"]
+    return read(spark, write(spark, sf_dir, "csv_snapshot_in_splits"))
 
 
 def bronze_staging(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from snapfold import schemas
 from snapfold.operators.conform import normalise_nulls
+from snapfold.session import scratch_dir
 from snapfold.sources import records as record_tasks
 
 # Executors get the task code with the plan; the package need not be installed there.
@@ -24,6 +26,12 @@ MAX_RECORD = 128 * 1024 * 1024
 # What is known of up to this many splits (about 100 bytes each) is broadcast.
 MAX_BROADCAST_SPLITS = 500_000
 
+# Splits of a file are summed up in blocks of about so many, and then the blocks.
+BLOCK_SPLITS = 256
+
+# Tables of pieces are read back in splits of at least this size.
+LEAST_READ_BYTES = 4 * 1024 * 1024
+
 _OPEN_QUOTE = "snapshot file that ends inside quotes (a quote is missing?)"
 _TOO_LONG = "snapshot record too long (a quote is missing?)"
 
@@ -46,8 +54,19 @@ def read_snapshot(
     lines together, and on records of more than MAX_RECORD characters.
 
     A file with multi-line fields cannot be cut at just any line break.  Files are
-    read in splits all the same, and their records put together.
+    read in splits all the same, and their records put together: the text is read here,
+    once, into a table in the scratch folder, of which the result is a view.
     """
+    return scan_snapshot(spark, path, columns, na_tokens)[0]
+
+
+def scan_snapshot(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str] = schemas.SNAPSHOT_COLUMNS,
+    na_tokens: tuple[str, ...] = schemas.NA_TOKENS,
+) -> tuple[DataFrame, str]:
+    """``read_snapshot``, and the folder that may be deleted when its rows have been taken."""
     paths = [path] if isinstance(path, str) else list(path)
     try:
         header = spark.read.options(**_CSV, header=True, multiLine=True).csv(paths).columns
@@ -59,7 +78,9 @@ def read_snapshot(
     absent = [c for c in columns if c not in header]
     if absent:
         raise ValueError(f"snapshot has no column {', '.join(absent)}")
-    return normalise_nulls(_read_in_splits(spark, paths, header).select(*columns), na_tokens)
+    folder = scratch_dir(spark, f"snapshot-{uuid.uuid4().hex[:12]}")
+    rows = _read_in_splits(spark, paths, header, folder)
+    return normalise_nulls(rows.select(*columns), na_tokens), folder
 
 
 def _split_bytes(spark: SparkSession) -> int:
@@ -69,26 +90,6 @@ def _split_bytes(spark: SparkSession) -> int:
     return int(number) << _UNITS[size[len(number) :]]
 
 
-def _file_lengths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """From the file listing; contents are not read.
-
-    Looked up in a session of its own, where tasks are not sized by contents: each
-    takes many files.
-    """
-    listing = spark.newSession()
-    listing.conf.set("spark.sql.files.maxPartitionBytes", f"{2**60}b")
-    return listing.read.format("binaryFile").load(paths).select("length")
-
-
-def _count_splits(spark: SparkSession, paths: list[str]) -> int:
-    """An upper bound: full splits and the rest of each file, or more splits than
-    that, so that every core gets one."""
-    splits = F.floor(F.col("length") / _split_bytes(spark)) + 1
-    by_size = _file_lengths(spark, paths).agg(F.sum(splits)).first()[0] or 0
-    wanted = spark.conf.get("spark.sql.files.minPartitionNum", None)
-    return by_size + int(wanted or spark.sparkContext.defaultParallelism)
-
-
 def _text_schema(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` string" for c in columns)
 
@@ -102,14 +103,79 @@ def _line_breaks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
-def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+def _read_back(spark: SparkSession, schema, folder: str) -> DataFrame:
+    """A table written here, in file splits that do not follow those set for the text."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", f"{max(_split_bytes(spark), LEAST_READ_BYTES)}b")
+    rows = own.read.schema(schema).parquet(folder)
+    nothing = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in rows.dtypes)
+    # A union belongs to the session of its first part, which is empty and planned away.
+    return spark.sql(f"SELECT {nothing} WHERE false").unionByName(rows)
+
+
+def start_states(splits: DataFrame, block_bytes: int) -> DataFrame:
+    """(file, start, quotes, made, sent) -> the same with ``inside``: whether a split begins inside quotes.
+
+    A line starts a record iff an even number of quotes precedes it in its file.  The quotes
+    before a split are those of earlier splits in its block, and those of earlier blocks of the
+    file: no task sees all splits of a file.  A file that ends inside quotes aborts.
+    """
+    odd = (F.col("quotes") % 2).alias("odd")
+    dealt = splits.select("*", odd, F.floor(F.col("start") / block_bytes).alias("block"))
+    inner = Window.partitionBy("file", "block").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = dealt.groupBy("file", "block").agg(F.sum("odd").alias("in_block"))
+    blocks = blocks.select(
+        "file",
+        "block",
+        F.coalesce(F.sum("in_block").over(outer), F.lit(0)).alias("before"),
+        F.sum("in_block").over(Window.partitionBy("file")).alias("in_file"),
+    )
+    inside = (F.coalesce(F.sum("odd").over(inner), F.lit(0)) + F.col("before")) % 2 == 1
+    closed = F.when(F.col("in_file") % 2 == 0, inside).otherwise(
+        F.raise_error(F.lit(_OPEN_QUOTE)).cast("boolean")
+    )
+    return dealt.join(blocks, ["file", "block"]).select(*splits.columns, closed.alias("inside"))
+
+
+def join_fragments(fragments: DataFrame, block_bytes: int) -> DataFrame:
+    """(file, start, head, is_header, fragment) -> the records (is_header, text) they make.
+
+    A fragment that is no head begins a record; the heads after it continue it.  Where
+    that is in another block of the file, the earlier blocks' last beginning tells.
+    """
+    begun = F.when(~F.col("head"), F.col("start"))
+    dealt = fragments.select("*", begun.alias("begun"), F.floor(F.col("start") / block_bytes).alias("block"))
+    inner = Window.partitionBy("file", "block").orderBy("start", F.desc("head"))
+    outer = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = dealt.groupBy("file", "block").agg(F.max("begun").alias("last"))
+    blocks = blocks.select("file", "block", F.max("last").over(outer).alias("earlier"))
+    # Starts ascend along a file, so the greatest beginning so far is the last.
+    here = F.max("begun").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    along_record = Window.partitionBy("file", "record").orderBy("start")
+    return (
+        dealt.withColumn("here", here)
+        .join(blocks, ["file", "block"])
+        .withColumn("record", F.coalesce("here", "earlier"))
+        .withColumn("length", F.sum(F.length("fragment")).over(along_record))
+        .withColumn("fragment", _require(F.col("length") <= MAX_RECORD, F.col("fragment"), _TOO_LONG))
+        .groupBy("file", "record")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("start", "fragment"))).alias("parts"),
+            F.max("is_header").alias("is_header"),
+        )
+        .select("is_header", F.array_join(F.col("parts.fragment"), "\n").alias("text"))
+    )
+
+
+def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str], folder: str) -> DataFrame:
     """Records of quoted CSV, put together from lines read in independent splits.
 
-    A line starts a record iff an even number of quotes precedes it in its file.
-    Quotes are counted per split and summed up over the splits of a file, which
-    settles every line.  Each task then joins the lines of its splits to records,
-    in file order and without a shuffle.  Only the one record that neighbouring
-    splits may share is put together afterwards: at most two fragments per split.
+    One pass over the text puts the lines of every split together, in file order and without
+    a shuffle, for the state that the split seems to begin in (for both while that is
+    open), and counts quotes.  The counts tell the true states.  Splits followed in the wrong
+    state are read again; that takes quotes in unquoted fields.  The one record that
+    neighbouring splits may share is put together afterwards: at most two fragments per split.
     """
     split = ["file", "start"]
     lines = spark.read.text(paths, lineSep="\n").select(
@@ -118,53 +184,43 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str]) ->
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
     )
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    splits_before = (
-        Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    block_bytes = BLOCK_SPLITS * _split_bytes(spark)
+    lines.select(*split, "line").mapInArrow(record_tasks.assemble, record_tasks.PIECES).write.parquet(f"{folder}/pieces")
+    pieces = _read_back(spark, record_tasks.PIECES, f"{folder}/pieces")
+
+    seen = Observation()
+    splits = pieces.where(F.col("quotes").isNotNull()).select(*split, "quotes", "made", "sent")
+    own = F.when(F.col("inside"), 2).otherwise(1)
+    wrong = F.col("made").bitwiseAND(own) == 0
+    doubtful = wrong | (F.col("sent") != own) & (F.col("sent") != 0)
+    states = start_states(splits, block_bytes).select(*split, "inside", wrong.alias("wrong"), doubtful.alias("doubtful"))
+    states.observe(seen, F.count_if("doubtful").alias("doubtful"), F.count_if("wrong").alias("wrong")).write.parquet(
+        f"{folder}/states"
     )
-    closed = F.sum("quotes").over(Window.partitionBy("file")) % 2 == 0
-    # The splits that begin inside a quoted field, and all of a file that ends inside one.
-    begun_inside = (
-        lines.groupBy(*split)
-        .agg(F.sum(quotes).alias("quotes"))
-        .withColumn("closed", closed)
-        .withColumn("inside", F.coalesce(F.sum("quotes").over(splits_before) % 2 == 1, F.lit(False)))
-        .where(F.col("inside") | ~F.col("closed"))
-        .select(*split, _require(F.col("closed"), F.lit("1"), _OPEN_QUOTE).cast("boolean").alias("inside"))
-    )
-    if _count_splits(spark, paths) <= MAX_BROADCAST_SPLITS:
-        located = lines.join(F.broadcast(begun_inside), split, "left")
-    else:
-        located = (
-            lines.repartition(*split)
-            .join(begun_inside, split, "left")
-            .sortWithinPartitions(*split, "pos")
-        )
-    pieces = located.select(
-        *split, F.coalesce("inside", F.lit(False)).alias("inside"), "line"
-    ).mapInArrow(record_tasks.assemble, record_tasks.PIECES)
-
-    # A fragment that is no head begins a record; the heads after it continue it.
-    along_file = Window.partitionBy("file").orderBy("start", F.desc("head"))
-    along_record = Window.partitionBy("file", "record").orderBy("start", F.desc("head"))
-    shared = (
-        pieces.where(F.col("file").isNotNull())
-        .withColumn("record", F.count_if(~F.col("head")).over(along_file))
-        .withColumn("length", F.sum(F.length("text")).over(along_record))
-        .withColumn(
-            "text",
-            _require(
-                F.col("length") <= MAX_RECORD, F.col("text"), _TOO_LONG
-            ),
-        )
-        .groupBy("file", "record")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("start", "text"))).alias("parts"),
-            F.max("is_header").alias("is_header"),
+    states = _read_back(spark, states.schema, f"{folder}/states")
+    n_doubtful, n_wrong = (seen.get[name] for name in ("doubtful", "wrong"))
+
+    def known(rows: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(rows) if n <= MAX_BROADCAST_SPLITS else rows
+
+    chosen = pieces.where(F.col("quotes").isNull())
+    if n_doubtful:
+        # All other splits were followed in one state, the true one.
+        told = states.where("doubtful").select(*split, F.when(~F.col("wrong"), F.col("inside").cast("int")).alias("state"), "doubtful")
+        chosen = chosen.join(known(told, n_doubtful), split, "left").where(
+            F.col("doubtful").isNull() | (F.col("variant") == F.col("state"))
         )
-        .select("is_header", F.array_join(F.col("parts.text"), "\n").alias("text"))
+    chosen = chosen.select(*split, "is_header", "text", "head", "fragment")
+    if n_wrong:
+        located = lines.join(known(states.where("wrong").select(*split, "inside"), n_wrong), split)
+        if n_wrong > MAX_BROADCAST_SPLITS:
+            located = located.repartition(*split).sortWithinPartitions(*split, "pos")
+        again = located.select(*split, "inside", "line").mapInArrow(record_tasks.assemble, record_tasks.PIECES)
+        chosen = chosen.unionByName(again.where(F.col("quotes").isNull()).select(*chosen.columns))
+    shared = join_fragments(
+        chosen.where(F.col("fragment").isNotNull()).select(*split, "head", "is_header", "fragment"), block_bytes
     )
-    records = pieces.where(F.col("file").isNull()).select("is_header", "text").unionByName(shared)
+    records = chosen.where(F.col("text").isNotNull()).select("is_header", "text").unionByName(shared)
 
     parsed = records.withColumn("text", F.regexp_replace("text", r"\r\z", "")).select(
         "is_header",

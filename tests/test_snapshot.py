@@ -184,6 +184,33 @@ def test_stray_quotes_are_refused(spark, tmp_path, cut, stray):
         read_snapshot(spark, str(path)).collect()
 
 
+@pytest.mark.parametrize("size", [60, 333, 10**8])
+def test_quotes_that_mislead_have_their_splits_read_again(spark, tmp_path, split_bytes, size, monkeypatch):
+    """Quotes inside unquoted fields of single lines look like the ends of quoted ones."""
+    lines = [f'{i},a,b,5" c 7",d,e,f,1,2020-01-01,,{"x" * (i % 50)}' for i in range(60)]
+    for i in range(10, 40):
+        lines[i] = f'{i},a,b,5",",7,d,e,f,1,2020-01-01,y'
+    path = tmp_path / "a.csv"
+    path.write_text("\n".join([",".join(COLUMNS), *lines]) + "\n")
+    split_bytes(10**9)
+    want = rows(read_snapshot(spark, str(path)))
+    assert len(want) == 60
+    split_bytes(size)
+    for most in (10**6, 0):
+        monkeypatch.setattr(snapshot, "MAX_BROADCAST_SPLITS", most)
+        assert rows(read_snapshot(spark, str(path))) == want
+
+
+def test_a_long_record_in_a_doubtful_split(spark, tmp_path, split_bytes, monkeypatch):
+    from snapfold.sources import records as record_tasks
+
+    monkeypatch.setattr(record_tasks, "DOUBTFUL", 20)
+    records = [[str(i), *"abcdefghi", "word\n" * (40 if i == 5 else 1)] for i in range(12)]
+    path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
+    split_bytes(70)
+    assert rows(read_snapshot(spark, path)) == expected(records)
+
+
 def test_byte_order_mark_and_compression(spark, tmp_path, cut):
     import gzip
 
