@@ -17,11 +17,10 @@ def as_of_column(as_of: dt.date | str | None) -> Column:
 
 def normalise_nulls(df: DataFrame, tokens: tuple[str, ...] = schemas.NA_TOKENS) -> DataFrame:
     """Every text column with the missing-value tokens turned into NULL."""
-    return df.select(
+    quoted = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    return df.selectExpr(
         *[
-            F.when(~F.col(name).isin(*tokens), F.col(name)).alias(name)
-            if sql_type == "string"
-            else F.col(name)
+            f"CASE WHEN `{name}` NOT IN ({quoted}) THEN `{name}` END AS `{name}`" if sql_type == "string" else f"`{name}`"
             for name, sql_type in df.dtypes
         ]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 N_EXAMPLES = 20
 
@@ -38,3 +38,15 @@ def check_key(df: DataFrame, *key: str) -> None:
         raise KeyViolation(
             f"key ({', '.join(key)}) has {n} missing or repeated values: {examples}{more}"
         )
+
+
+def watched_key(df: DataFrame, seen: Observation, *key: str) -> DataFrame:
+    """The same rows; ``seen`` counts those whose key is missing or not the first of its kind.
+
+    Rows that are dealt by the key and sorted by it anyway, for a join or for bucketed files,
+    are compared with their neighbours on the way: no further exchange, and no further sort.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in key])
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    bad = F.count_if((F.col("__place") > 1) | missing).alias("bad")
+    return df.withColumn("__place", place).observe(seen, bad).drop("__place")

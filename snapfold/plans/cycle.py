@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from snapfold import schemas
 from snapfold.operators import cdc, gold
 from snapfold.operators.conform import conform_employees
-from snapfold.operators.keys import check_key
+from snapfold.operators.keys import check_key, watched_key
 from snapfold.sources.lake import Lake
-from snapfold.sources.snapshot import read_snapshot
+from snapfold.sources.snapshot import scan_snapshot
 
 logger = logging.getLogger(__name__)
 
 SILVER = "silver.employees"
-STAGING_VIEW = "tmp_employees"
-CHANGES_VIEW = "employees_cdc_view"
+STAGED = "silver.staged_employees"
+STAGING_VIEW = "silver.tmp_employees"
+CHANGES_VIEW = "silver.employees_cdc_view"
 
 
 @dataclass(frozen=True)
@@ -47,13 +48,14 @@ def load_bronze(lake: Lake, path: str | list[str]) -> int:
     Its staging twin is a view of the same rows without the load timestamp.
     """
     seen = Observation()
+    rows, scanned = scan_snapshot(lake.spark, path)
     raw = (
-        read_snapshot(lake.spark, path)
-        .withColumn(schemas.KEY, F.col(schemas.KEY).cast(_type_of(lake, "bronze.employees", schemas.KEY)))
+        rows.withColumn(schemas.KEY, F.col(schemas.KEY).cast(_type_of(lake, "bronze.employees", schemas.KEY)))
         .withColumn("ingestion_timestamp", F.current_timestamp())
         .observe(seen, F.count(F.lit(1)).alias("n"))
     )
     lake.publish({"bronze.employees": raw})
+    lake.delete_folder(scanned)
     columns = ", ".join(f"`{c}`" for c in schemas.SNAPSHOT_COLUMNS)
     lake.spark.sql(
         f"CREATE OR REPLACE VIEW {lake.catalog_name('bronze.tmp_employees')} AS "
@@ -65,32 +67,72 @@ def load_bronze(lake: Lake, path: str | list[str]) -> int:
 def stage_incoming(
     lake: Lake, as_of: dt.date | str | None = None, key: tuple[str, ...] = (schemas.KEY,)
 ) -> DataFrame:
-    """The cleaned rows of the raw table, also as a temporary view; aborts on bad keys."""
+    """The cleaned rows of the raw table as a table, dealt and sorted like the state; aborts on bad keys.
+
+    That is the one exchange of the incoming rows.  Equal keys meet in it, so the key is checked on
+    the way, before the commit; only where it fails are the keys counted, for the report.
+    """
     raw = lake.table("bronze.employees")
     incoming = conform_employees(raw, as_of, _type_of(lake, SILVER, schemas.KEY))
-    # The key as it arrives is all that is read for it, unless rules name cleaned columns.
-    check_key(raw if key == (schemas.KEY,) else incoming, *key)
-    incoming.createOrReplaceTempView(STAGING_VIEW)
-    return incoming
+    lake.fit_buckets(SILVER, like="bronze.employees")
+    lake.fit_buckets(STAGED, like="bronze.employees")
+    dealt, verify = lake.by_key(STAGED, incoming), None
+    if key == (schemas.KEY,):
+        seen = Observation()
+        dealt = watched_key(dealt, seen, *key)
+
+        def verify() -> None:
+            if seen.get["bad"]:
+                check_key(raw, *key)
+    else:
+        check_key(incoming, *key)
+    lake.publish({STAGED: dealt}, verify)
+    _show_staging(lake, "true")
+    return lake.table(STAGED)
+
+
+def _show_staging(lake: Lake, condition: str) -> None:
+    lake.spark.sql(
+        f"CREATE OR REPLACE VIEW {lake.catalog_name(STAGING_VIEW)} AS "
+        f"SELECT * FROM {lake.catalog_name(STAGED)} WHERE {condition}"
+    )
+
+
+def clear_staging(lake: Lake) -> None:
+    """Empty the staging view.  The rows stay behind the changes view until the next are staged."""
+    _show_staging(lake, "false")
 
 
 def refresh_silver(lake: Lake, incoming: DataFrame) -> None:
     """Make the cleaned rows the state, whatever it was."""
     lake.fit_buckets(SILVER, like="bronze.employees")
-    lake.publish({SILVER: lake.by_key(SILVER, incoming)})
+    lake.publish({SILVER: incoming if lake.same_buckets(SILVER, STAGED) else lake.by_key(SILVER, incoming)})
+
+
+def changes_sql(lake: Lake, rules: cdc.ChangeRules = cdc.EMPLOYEES) -> str:
+    """Classification of the staged rows against the state, as SQL over the published names."""
+    columns = schemas.names(lake.layouts[STAGED].columns)
+    values = [c for c in columns if c not in (*rules.key, rules.stamped)]
+    first = rules.key[0]
+    same = " AND ".join(f"new.`{k}` = old.`{k}`" for k in rules.key)
+    changed = " OR ".join(f"NOT (new.`{c}` <=> old.`{c}`)" for c in rules.compare)
+    return (
+        f"SELECT {', '.join(f'coalesce(new.`{k}`, old.`{k}`) AS `{k}`' for k in rules.key)}, "
+        f"CASE WHEN old.`{first}` IS NULL THEN '{cdc.INSERT}' WHEN new.`{first}` IS NULL THEN '{cdc.DELETE}' "
+        f"WHEN {changed} THEN '{cdc.UPDATE}' ELSE '{cdc.NO_CHANGE}' END AS {cdc.ACTION}, "
+        f"{', '.join(f'new.`{c}`' for c in values)} "
+        f"FROM {lake.catalog_name(STAGED)} AS new FULL OUTER JOIN {lake.catalog_name(SILVER)} AS old ON {same}"
+    )
 
 
-def show_changes(
-    lake: Lake, incoming: DataFrame, rules: cdc.ChangeRules = cdc.EMPLOYEES
-) -> DataFrame:
-    """The classified changes of the published state, also as a temporary view.
+def show_changes(lake: Lake, rules: cdc.ChangeRules = cdc.EMPLOYEES) -> DataFrame:
+    """The changes of the published state that the staged rows stand for, as a stored, live view.
 
-    The view is bound to the versions published when it is made.  ``run_cycle`` makes it again on
-    the state it has published, so between cycles it shows what is left to change.
+    Any session can read it; it follows every publish.  Both sides are bucketed and sorted by the
+    key, so it is read without an exchange.  Between cycles it shows what is left to change.
     """
-    changes = cdc.classify(incoming, lake.table(SILVER), rules)
-    changes.createOrReplaceTempView(CHANGES_VIEW)
-    return changes
+    lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.catalog_name(CHANGES_VIEW)} AS {changes_sql(lake, rules)}")
+    return lake.spark.table(lake.catalog_name(CHANGES_VIEW))
 
 
 def update_silver(
@@ -163,11 +205,11 @@ def run_cycle(
         counts = {}
         if initial:
             refresh_silver(lake, incoming)
+            show_changes(lake, rules)
         else:
-            show_changes(lake, incoming, rules)
+            show_changes(lake, rules)
             counts = update_silver(lake, incoming, rules, as_of)
-            show_changes(lake, incoming, rules)
-        lake.spark.catalog.dropTempView(STAGING_VIEW)
+        clear_staging(lake)
         logger.info("silver: %s", "initial load" if initial else counts)
 
         departments, years = load_gold(lake, as_of)

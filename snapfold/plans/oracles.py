@@ -335,6 +335,8 @@ SELECT hiring_year, most_hired_dept FROM ({_trends("life", inputs.GOLD_AS_OF)})"
     "department_kpi": _ctes(LIFECYCLE) + _kpi("life", inputs.GOLD_AS_OF, "bigint"),
     "hiring_trends": _ctes(LIFECYCLE) + _trends("life", inputs.GOLD_AS_OF),
     "gold_after_cdc": _ctes(PAIR, CHANGES, APPLIED) + _kpi("applied", inputs.LATER, "integer"),
+    "gold_incremental": _ctes(PAIR, CHANGES, APPLIED) + _kpi("applied", inputs.LATER, "bigint"),
+    "trends_incremental": _ctes(PAIR, CHANGES, APPLIED) + _trends("applied", inputs.LATER),
     "initial_silver": _ctes(RAW, READ) + _shown_state(_conformed("snapshot", inputs.GOLD_AS_OF)),
     "cycle_silver": _cycle_ctes() + _shown_state("state"),
     "cycle_department_kpi": _cycle_ctes() + _kpi("state", inputs.LATER, "integer"),

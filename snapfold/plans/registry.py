@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapfold.functions import cleaning
 from snapfold.functions.fingerprint import row_fingerprint, row_text
 from snapfold.functions.numeric import rounded_mean
-from snapfold.operators import cdc, gold, keys
+from snapfold.operators import cdc, gold, keys, running
 from snapfold.operators.conform import conform_employees, normalise_nulls
 from snapfold.plans import inputs
 from snapfold.plans.cycle import load_bronze, refresh_silver, run_cycle, stage_incoming
@@ -291,6 +291,24 @@ def gold_after_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(gold.department_kpi(state, inputs.LATER, gold.EMPLOYEES))
 
 
+def _advanced_gold(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Both gold tables of the later day: the earlier day's stored ledger and the changes since."""
+    incoming, current = _pair(spark, sf_dir)
+    folder = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+    running.ledger(current).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    moved = running.ledger(running.movements(incoming, current, as_of=inputs.LATER))
+    return running.gold_tables(running.advance(stored, moved), inputs.LATER, ORDER_KPI)
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_advanced_gold(spark, sf_dir, "gold_incremental")[0])
+
+
+def trends_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_advanced_gold(spark, sf_dir, "trends_incremental")[1])
+
+
 # -- whole cycles ----------------------------------------------------------------
 
 
@@ -394,6 +412,8 @@ QUERIES: dict[str, Query] = {
         department_kpi,
         hiring_trends,
         gold_after_cdc,
+        gold_incremental,
+        trends_incremental,
         initial_silver,
         cycle_silver,
         cycle_department_kpi,

@@ -3,10 +3,10 @@
 A publish writes its tables into new folders and then appends one small file to
 ``<root>/commits`` that names them all.  That file is the commit: it names every table
 of the publish or does not exist, and a job that dies before it leaves the last
-published state untouched.  Catalog tables are pointers to the committed folders.  They
-are moved one after another behind the commit, and set again from the log whenever a
-``Lake`` is opened: who reads several of them while a publish ends may see one moved and
-another not yet.  ``Lake.committed`` reads the tables of one commit together.
+published state untouched.  The published names are views, each of a catalog table of one version:
+they are moved one after another behind the commit, each at once and for all sessions, and
+set again from the log whenever a ``Lake`` is opened.  Who reads several of them while a publish
+ends may see one moved and another not yet; ``Lake.committed`` reads the tables of one commit together.
 
 There is one writer per lake at a time, as for any full-snapshot load.
 """
@@ -14,6 +14,7 @@ There is one writer per lake at a time, as for any full-snapshot load.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -38,6 +39,7 @@ BUCKET_BYTES = 256 * 1024 * 1024
 
 LAYOUTS = {
     "bronze.employees": Layout(schemas.BRONZE_EMPLOYEES),
+    "silver.staged_employees": Layout(schemas.SILVER_EMPLOYEES, bucket_by=schemas.KEY),
     "silver.employees": Layout(schemas.SILVER_EMPLOYEES, bucket_by=schemas.KEY),
     "gold.department_kpi": Layout(schemas.GOLD_DEPARTMENT_KPI),
     "gold.hiring_trends": Layout(schemas.GOLD_HIRING_TRENDS),
@@ -136,17 +138,20 @@ class Lake:
             t: self.spark.read.schema(schemas.ddl(self.layouts[t].columns)).parquet(latest[t]) for t in tables
         }
 
-    def publish(self, tables: dict[str, DataFrame]) -> int:
+    def publish(self, tables: dict[str, DataFrame], verify: Callable[[], None] | None = None) -> int:
         """Replace all the given tables, in one commit; returns its version.
 
         Rows are inserted by column name into the declared types: overlong texts
-        and out-of-range numbers abort, and nothing is published.
+        and out-of-range numbers abort, and nothing is published.  ``verify`` is called when the
+        rows are written, before the commit: if it raises, nothing is published either.
         """
         version = self._version + 1
         with ThreadPoolExecutor(len(tables)) as pool:
             entries = list(
                 pool.map(lambda item: self._write(version, *item), tables.items())
             )
+        if verify:
+            verify()
         self._commit(entries)
         self._version = version
         for _, table, path, buckets in entries:
@@ -160,15 +165,21 @@ class Lake:
         own = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{table.replace('.', '/')}/{own}"
         # A name of its own: what a driver that died left in the catalog is in no one's way.
-        pending = f"{table}__{own.replace('-', '_')}"
+        pending = self._versioned(table, path)
         self._create(pending, layout, path, buckets)
         try:
             columns = schemas.names(layout.columns)
             rows.select(*columns).write.insertInto(self.catalog_name(pending))
-        finally:
+        except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(pending)}")
+            raise
         return version, table, path, buckets
 
+    @staticmethod
+    def _versioned(table: str, path: str) -> str:
+        """The catalog table of one version, named like its folder."""
+        return f"{table}__{path.rsplit('/', 1)[-1].replace('-', '_')}"
+
     def _commit(self, entries: list[tuple[int, str, str, int]]) -> None:
         """Append one file, which appears as a whole or not at all."""
         rows = F.array(
@@ -204,6 +215,16 @@ class Lake:
         """Whether every present bucket goes to whole buckets of the next version."""
         return self.buckets_of(table) % self._published[table][1] == 0
 
+    def same_buckets(self, table: str, other: str) -> bool:
+        """Whether the published ``other`` is dealt and sorted as the next version of ``table``."""
+        return self._published[other][1] == self.buckets_of(table) and (
+            self.layouts[table].bucket_by == self.layouts[other].bucket_by
+        )
+
+    def delete_folder(self, path: str) -> bool:
+        file_system, at = self._files(path)
+        return file_system.delete(at, True)
+
     def fit_buckets(self, table: str, like: str) -> int:
         """Let a keyed table have buckets enough for the size of another published one.
 
@@ -243,6 +264,8 @@ class Lake:
             file_system, at = self._files(f"{self.root}/{table.replace('.', '/')}")
             for folder in file_system.listStatus(at):
                 if (table, folder.getPath().getName()) not in names:
+                    old = self._versioned(table, folder.getPath().getName())
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(old)}")
                     deleted += file_system.delete(folder.getPath(), True)
         return deleted
 
@@ -259,15 +282,15 @@ class Lake:
         )
 
     def _point(self, table: str, path: str, buckets: int) -> None:
-        """Set the catalog table to a committed folder."""
+        """Let the published name show a committed folder."""
         if table not in self.layouts:
             return
-        name = self.catalog_name(table)
-        known = self._published.get(table)
-        if known and known[1] == buckets and self.spark.catalog.tableExists(name):
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        else:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self._create(table, self.layouts[table], path, buckets)
-        self.spark.catalog.refreshTable(name)
+        version = self._versioned(table, path)
+        if not self.spark.catalog.tableExists(self.catalog_name(version)):
+            self._create(version, self.layouts[table], path, buckets)
+        columns = ", ".join(f"`{c}`" for c in schemas.names(self.layouts[table].columns))
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.catalog_name(table)} AS "
+            f"SELECT {columns} FROM {self.catalog_name(version)}"
+        )
         self._published[table] = (path, buckets)

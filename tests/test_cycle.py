@@ -108,12 +108,59 @@ def test_staging_is_cleared_and_the_view_shows_what_is_left(spark, lake, tmp_pat
     run_cycle(lake, write(tmp_path / "1.csv", ANN), "2025-01-01", keep=1)
     second = write(tmp_path / "2.csv", changed(ANN, salary="150"), BOB)
     run_cycle(lake, second, "2025-01-02", keep=1)
-    assert not spark.catalog.tableExists(cycle.STAGING_VIEW)
+    assert spark.table(lake.catalog_name(cycle.STAGING_VIEW)).count() == 0
     # The raise is not taken over; old versions are gone, the view is on the published ones.
-    changes = spark.table(cycle.CHANGES_VIEW).collect()
+    changes = spark.table(lake.catalog_name(cycle.CHANGES_VIEW)).collect()
     assert {r.employee_id: r.cdc_action for r in changes} == {1: "UPDATE", 2: "NO_CHANGE"}
 
 
+def test_another_session_reads_the_stored_view_before_and_after(spark, lake, tmp_path):
+    run_cycle(lake, write(tmp_path / "1.csv", ANN, BOB, CAT), "2025-01-01")
+    other = spark.newSession()
+    view = lake.catalog_name(cycle.CHANGES_VIEW)
+
+    def seen():
+        return {r.employee_id: r.cdc_action for r in other.table(view).collect()}
+
+    assert seen() == {1: "NO_CHANGE", 2: "NO_CHANGE", 3: "NO_CHANGE"}
+    cycle.load_bronze(lake, write(tmp_path / "2.csv", changed(ANN, salary="150"), changed(CAT, status="Leave"), DAN))
+    incoming = cycle.stage_incoming(lake, "2025-01-02")
+    assert seen() == {1: "UPDATE", 2: "DELETE", 3: "UPDATE", 4: "INSERT"}
+    want = sorted(map(tuple, cdc.classify(incoming, lake.table(cycle.SILVER)).collect()), key=repr)
+    assert sorted(map(tuple, other.table(view).collect()), key=repr) == want
+    cycle.update_silver(lake, incoming, as_of="2025-01-02")
+    # Live: the raise is left over, as ever.
+    assert seen() == {1: "UPDATE", 3: "NO_CHANGE", 4: "NO_CHANGE"}
+    assert lake.expire() > 0
+    assert seen() == {1: "UPDATE", 3: "NO_CHANGE", 4: "NO_CHANGE"}
+    assert other.table(lake.catalog_name(cycle.SILVER)).count() == 3
+
+
+def test_incoming_rows_are_exchanged_once(spark, lake, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    run_cycle(lake, write(tmp_path / "1.csv", ANN, BOB, CAT), "2025-01-01")
+    plans = []
+    insert = DataFrameWriter.insertInto
+    monkeypatch.setattr(
+        DataFrameWriter, "insertInto",
+        lambda self, *a: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or insert(self, *a),
+    )
+    cycle.load_bronze(lake, write(tmp_path / "2.csv", ANN, DAN))
+    plans.clear()
+    incoming = cycle.stage_incoming(lake, "2025-01-02")
+    cycle.update_silver(lake, incoming, as_of="2025-01-02")
+    staged, settled = plans
+    assert staged.count("Exchange") == 1 and "Window" in staged
+    assert "SortMergeJoin" in settled and "Exchange" not in settled and "Sort [" not in settled
+
+
+def test_an_empty_snapshot_deletes_everything(lake, tmp_path):
+    run_cycle(lake, write(tmp_path / "1.csv", ANN, BOB), "2025-01-01")
+    report = run_cycle(lake, write(tmp_path / "2.csv"), "2025-01-02")
+    assert (report.rows, report.deleted) == (0, 2)
+
+
 def test_wide_tables_take_what_int_does_not(spark, lake, tmp_path):
     rich = [changed(ANN, employee_id=str(5_000_000_000 + i), salary="90000000") for i in range(30)]
     path = write(tmp_path / "1.csv", *rich)
@@ -205,8 +252,8 @@ def test_steps_by_themselves(spark, lake, tmp_path):
     cycle.refresh_silver(lake, cycle.stage_incoming(lake, "2025-01-01"))
     cycle.load_bronze(lake, write(tmp_path / "2.csv", ANN, CAT))
     incoming = cycle.stage_incoming(lake, "2025-01-02")
-    assert spark.table(cycle.STAGING_VIEW).count() == 2
-    changes = {r.employee_id: r.cdc_action for r in cycle.show_changes(lake, incoming).collect()}
+    assert spark.table(lake.catalog_name(cycle.STAGING_VIEW)).count() == 2
+    changes = {r.employee_id: r.cdc_action for r in cycle.show_changes(lake).collect()}
     assert changes == {1: "NO_CHANGE", 2: "DELETE", 3: "INSERT"}
     counts = cycle.update_silver(lake, incoming, as_of="2025-01-02")
     assert counts == {"INSERT": 1, "UPDATE": 0, "DELETE": 1, "NO_CHANGE": 1}
