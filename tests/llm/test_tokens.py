@@ -18,7 +18,6 @@ def plain_ids(name, texts):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path(name))
-    library.encode_special_tokens = True
     return [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
@@ -30,7 +29,7 @@ def hostile_texts():
     rng = random.Random(3)
     alphabet = list("ab Z\t\n\r'.-9<|>") + [
         "  ", " ", " ", " ", "　", "\x1c", "\x85", "é", "é", "́", "ß", "Σ", "中", "😀",
-        "'s", "'LL", "<|endoftext|>", "İ", " ",
+        "'s", "'LL", "<|endoftext|>", "  <|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|> ", "İ", " ",
     ]
     return ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(3000)]
 
