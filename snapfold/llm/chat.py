@@ -9,7 +9,10 @@ tokens that it will expand to.  A conversation is its turns in order:
 
 Control strings inside texts and roles are escaped reversibly: backslashes are doubled,
 and a backslash is put behind the first character of every control string, so that no
-control string is left.  `read_turns` takes a formatted conversation apart again.
+control string is left.  Text parts that follow each other are escaped as the one text
+they make, so a control string spread over several of them is found too.  `read_parts` takes a
+formatted conversation apart again: into texts, whose parts are joined, and placeholders, which a
+text that only looks like one is not taken for.
 
 The loss mask is a list of [start, end) ranges of code points, one per text part of an
 assistant turn.
@@ -21,10 +24,12 @@ rows are repeated turns.  An empty table gives no rows.  Other columns are ignor
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,6 +50,8 @@ _turn = re.compile(
     f"{re.escape(OPEN)}{re.escape(ROLE)}(.*?){re.escape(SAID)}(.*?){re.escape(CLOSE)}", re.DOTALL
 )
 
+_placeholder = re.compile("<(image|audio|document) ([0-9]+)>")
+
 PART = "struct<type: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>"
 FORMATTED = (
     "conv_id {id}, n_turns bigint, formatted string, loss array<struct<start: bigint, end: bigint>>, "
@@ -56,6 +63,21 @@ def escape(text: str) -> str:
     return _control.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
 
 
+def escape_parts(texts: list[str]) -> list[str]:
+    """The escaped join of the texts, cut where they border."""
+    whole = "".join(texts)
+    # Behind which characters of the join a backslash more stands.
+    added = sorted([m.start() for m in _control.finditer(whole)] + [m.start() for m in re.finditer(r"\\", whole)])
+    out, at, done = [], 0, 0
+    escaped = escape(whole)
+    for text in texts:
+        at += len(text)
+        end = at + bisect.bisect_left(added, at)
+        out.append(escaped[done:end])
+        done = end
+    return out
+
+
 def unescape(text: str) -> str:
     return re.sub(r"\\(\\?)", r"\1", text)
 
@@ -77,27 +99,32 @@ class Flattener:
     def turn(self, role: str | None, parts: list[dict]) -> None:
         self.turns += 1
         self.put(f"{OPEN}{ROLE}{escape(role or '')}{SAID}")
-        for part in parts:
-            visit = getattr(self, f"visit_{part['type']}", None)
+        for kind, run in groupby(parts, key=lambda part: part["type"]):
+            visit = getattr(self, f"visit_{kind}", None)
             if visit is None:
-                raise ValueError(f"unknown content part: {part['type']!r}")
-            visit(part, role == ASSISTANT)
+                raise ValueError(f"unknown content part: {kind!r}")
+            if kind == "text":
+                visit(list(run), role == ASSISTANT)
+            else:
+                for part in run:
+                    visit(part)
         self.put(CLOSE)
 
-    def visit_text(self, part: dict, learned: bool) -> None:
-        start = self.length
-        self.put(escape(part["text"] or ""))
-        if learned:
-            self.loss.append({"start": start, "end": self.length})
+    def visit_text(self, parts: list[dict], learned: bool) -> None:
+        for text in escape_parts([part["text"] or "" for part in parts]):
+            start = self.length
+            self.put(text)
+            if learned:
+                self.loss.append({"start": start, "end": self.length})
 
-    def visit_image(self, part: dict, learned: bool) -> None:
+    def visit_image(self, part: dict) -> None:
         sides = [math.ceil((part[x] or 0) / IMAGE_PATCH) for x in ("width", "height")]
         self._attach("image", part, sides[0] * sides[1])
 
-    def visit_audio(self, part: dict, learned: bool) -> None:
+    def visit_audio(self, part: dict) -> None:
         self._attach("audio", part, math.ceil((part["seconds"] or 0) * AUDIO_RATE))
 
-    def visit_document(self, part: dict, learned: bool) -> None:
+    def visit_document(self, part: dict) -> None:
         self._attach("document", part, (part["pages"] or 0) * PAGE_TOKENS)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
@@ -111,9 +138,26 @@ class Flattener:
         }
 
 
+def read_parts(formatted: str) -> list[tuple[str, list[tuple[str, str]]]]:
+    """(role, parts) of every turn; a part is ("text", the text) or (its kind, the attachment's number)."""
+    out = []
+    for turn in _turn.finditer(formatted):
+        # Escaped text holds no placeholder's beginning, so every one found is real.
+        parts, at = [], 0
+        for place in _placeholder.finditer(turn[2]):
+            if place.start() > at:
+                parts.append(("text", unescape(turn[2][at : place.start()])))
+            parts.append((place[1], place[2]))
+            at = place.end()
+        if at < len(turn[2]):
+            parts.append(("text", unescape(turn[2][at:])))
+        out.append((unescape(turn[1]), parts))
+    return out
+
+
 def read_turns(formatted: str) -> list[tuple[str, str]]:
-    """(role, content) of every turn; content has its placeholders, its text is unescaped."""
-    return [(unescape(m[1]), unescape(m[2])) for m in _turn.finditer(formatted)]
+    """(role, text) of every turn; attachments are left out (`read_parts` has them)."""
+    return [(role, "".join(x for kind, x in parts if kind == "text")) for role, parts in read_parts(formatted)]
 
 
 def text_parts(text: Column) -> Column:
