@@ -7,8 +7,10 @@ with elastic-net penalties, which leaves most of them at zero; then one temperat
 rows kept back, so that scores are probabilities.
 
 Document frequencies are counted over all learnable rows.  The weights are fitted on a bounded
-sample: the rows of smallest id hash, at most PER_LANGUAGE of a language and SAMPLE_DOCS in all.  A
-fifth of them fits the temperature.  Rows whose crc32(doc_id as text) mod 4 is 2 are held out
+sample: the rows of smallest id hash, about PER_LANGUAGE of a language and at most SAMPLE_DOCS in all.  Where
+the languages together would exceed that, the larger ones get an equal share of it and the smaller ones all
+they have, so none is starved.  The SAMPLE_DOCS / 2 most frequent languages can be learned.  A
+fifth of the sample fits the temperature.  Rows whose crc32(doc_id as text) mod 4 is 2 are held out
 of all this; rows without an id or a language are not learned from.  Language, source and
 id are no inputs of a prediction.
 
@@ -140,6 +142,15 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def quotas(sizes: dict[str, int], per_language: int, sample_docs: int) -> dict[str, int]:
+    """How many rows to draw of each language: the least of its size, `per_language`, and a level at which all fit."""
+    out, left = {}, sample_docs
+    for at, (name, size) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[name] = min(size, per_language, max(1, left // (len(sizes) - at)))
+        left -= out[name]
+    return out
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
@@ -172,11 +183,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_docs: int = SA
     idf = np.log((1.0 + total) / (1.0 + frequencies)) + 1.0
     if not sizes:
         return LanguageModel((), idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    # A row is drawn if its hash falls below its language's share; then the bound holds by limit.
+    # A row is drawn if its hash falls below its language's share.  Chance may draw a few more than the
+    # bound; the limit takes them from all languages alike, by their place within the share.
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[F.lit(x) for name, size in sizes.items() for x in (name, per_language / size)])[F.col("lang")]
+    quota = quotas(sizes, per_language, sample_docs)
+    share = F.create_map(*[F.lit(x) for name, size in sizes.items() for x in (name, quota[name] / size)])[F.col("lang")]
     drawn = rows.select("doc_id", "text", "lang", place.alias("place")).where(F.col("place") < share)
-    drawn = drawn.orderBy("place", "doc_id", "text", "lang").limit(sample_docs).select("text", "lang", "place")
+    drawn = drawn.orderBy(F.col("place") / share, "doc_id", "text", "lang").limit(sample_docs).select("text", "lang", "place")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
