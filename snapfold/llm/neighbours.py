@@ -18,8 +18,9 @@ More rows make deeper trees, up to what the sample can split; leaves beyond that
 blocks of rows, so identical vectors, which no tree can part, never meet in one task.
 
 Vectors that are null, empty, of another length than most, zero, or hold null or non-finite
-components take no part, neither as rows nor as queries.  Rows without an id take no part.  An id that
-occurs twice is two candidates.  Ties go to the smaller id.  Empty tables give no rows.
+components take no part, neither as rows nor as queries.  Rows without an id take no part.  An id is one
+candidate and one query, however many rows it has: its score is the best of any two of their vectors,
+and none of its own rows is its neighbour.  Ties go to the smaller id.  Empty tables give no rows.
 Columns other than the id and the vector are ignored.
 """
 
@@ -136,33 +137,42 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def lower_bounds(ids: np.ndarray, queries: np.ndarray, found: list[list[tuple[int, int]]], sample: Sample, k: int) -> np.ndarray:
-    """Of each query a score that k other rows of its leaves reach, or -inf."""
+    """Of each query a score that k other ids in its leaves reach, or -inf."""
     scores = queries @ sample.rows.T
     scores[ids[:, None] == sample.ids[None, :]] = -np.inf
     out = np.full(len(ids), -np.inf)
     trees = np.arange(sample.leaves.shape[1])
     taken = np.zeros((len(trees), int(sample.leaves.max(initial=0)) + 1), dtype=bool)
+    names, number = np.unique(sample.ids, return_inverse=True)
     for i, own in enumerate(found):
         taken[:] = False
         for t, leaf in own:
             if leaf < taken.shape[1]:
                 taken[t, leaf] = True
-        held = scores[i, taken[trees, sample.leaves].any(axis=1)]
+        seen = taken[trees, sample.leaves].any(axis=1)
+        held = scores[i, seen]
+        if len(names) < len(sample.ids):  # the best score of each id
+            best = np.full(len(names), -np.inf)
+            np.maximum.at(best, number[seen], held)
+            held = best[best > -np.inf]
         if len(held) >= k:
             out[i] = np.partition(held, -k)[-k]
     return out
 
 
 def _best(queries: tuple[np.ndarray, np.ndarray, np.ndarray], rows: tuple[np.ndarray, np.ndarray], k: int):
-    """The k nearest rows of each query that reach its bound: query ids, row ids, scores."""
+    """The k nearest ids of each query that reach its bound: query ids, row ids, scores."""
     query_ids, q, least = queries
-    row_ids, r = rows
+    by_id = np.argsort(rows[0], kind="stable")
+    row_ids, r = rows[0][by_id], rows[1][by_id]
+    starts = np.flatnonzero(np.append(True, row_ids[1:] != row_ids[:-1]))
     for at in range(0, len(q), 512):
         ids, part = query_ids[at : at + 512], q[at : at + 512]
         rough = part @ r.T
         rough[ids[:, None] == row_ids[None, :]] = -np.inf
-        if rough.shape[1] > k:
-            bound = np.partition(rough, -k, axis=1)[:, -k]
+        if len(starts) > k:
+            best = rough if len(starts) == len(row_ids) else np.maximum.reduceat(rough, starts, axis=1)
+            bound = np.partition(best, -k, axis=1)[:, -k]
         else:
             bound = np.full(len(part), -np.inf)
         bound = np.maximum(bound, least[at : at + 512])
@@ -174,6 +184,9 @@ def _best(queries: tuple[np.ndarray, np.ndarray, np.ndarray], rows: tuple[np.nda
             score += part[a, d] * r[b, d]
         order = np.lexsort((row_ids[b], -score, a))
         a, b, score = a[order], b[order], score[order]
+        if len(starts) < len(row_ids):  # of an id the best row
+            once = np.sort(np.unique(a * len(r) + np.searchsorted(row_ids, row_ids[b]), return_index=True)[1])
+            a, b, score = a[once], b[once], score[once]
         rank = np.arange(len(a)) - np.searchsorted(a, a)
         keep = rank < k
         yield ids[a[keep]], row_ids[b[keep]], score[keep]
@@ -197,7 +210,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     usual = given.groupBy(F.size("vector").alias("n")).count().where("n > 0").orderBy(F.desc("count"), "n").first()
     if usual is None:
         return spark.createDataFrame([], empty)
-    good = given.where(usable(F.col("vector"), usual["n"]))
+    # Rows that repeat another in id and vector change nothing; as one row they make no large block.
+    good = staged(given.where(usable(F.col("vector"), usual["n"])).dropDuplicates(["id", "vector"]), "vectors")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     query_condition = is_query.alias("is_query")
     named = good.withColumnRenamed("id", id_column).select("*", query_condition).withColumnRenamed(id_column, "id")
@@ -207,7 +221,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     if not facts["rows"] or not facts["queries"]:
         return spark.createDataFrame([], empty)
     drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(0.95 * sample_rows / facts["rows"] * (1 << 30)))
-    chosen = good.where(drawn | F.lit(facts["rows"] <= sample_rows)).orderBy("id").limit(sample_rows).collect()
+    chosen = good.where(drawn | F.lit(facts["rows"] <= sample_rows)).orderBy("id", "vector").limit(sample_rows).collect()
     drawn_rows = np.array([r.vector for r in chosen])
     forest = grow(drawn_rows, facts["rows"], trees, leaf_rows, facts["scale"])
     sample = Sample(np.array([r.id for r in chosen]), drawn_rows, forest.leaves(drawn_rows))
@@ -250,7 +264,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     query_blocks = int(np.ceil(facts["queries"] / block))
     rows = (
         placed.join(sizes, ["tree", "leaf"])
-        .withColumn("row_block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        .withColumn("row_block", F.pmod(F.xxhash64("id", "vector"), F.col("blocks")))
         .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
         .select("tree", "leaf", "row_block", "query_block", "id", "vector")
     )
@@ -262,7 +276,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         .select("id", "vector", "least", F.col("visit.tree").cast("int").alias("tree"), F.col("visit.leaf").alias("leaf"))
         .join(sizes, ["tree", "leaf"])
         .withColumn("row_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("query_block", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
+        .withColumn("query_block", F.pmod(F.xxhash64("id", "vector"), F.lit(query_blocks)).cast("int"))
         .select("tree", "leaf", "row_block", "query_block", "id", "vector", "least")
     )
     key = ["tree", "leaf", "row_block", "query_block"]
@@ -282,7 +296,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     )
     first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        scored.dropDuplicates(["query_id", "vec_id"])
+        scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(first))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

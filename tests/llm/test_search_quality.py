@@ -43,6 +43,59 @@ def test_small_tables_are_searched_whole(spark):
         assert [r[2] for r in own] == pytest.approx([-s for s, _ in ranked])
 
 
+def best_by_id(rows, k):
+    v = [(i, np.array(x, dtype=np.float32).astype(float)) for i, x in rows]
+    out = {}
+    for q in sorted({i for i, _ in v if i % 20 == 0}):
+        best = {}
+        for i, x in v:
+            if i != q:
+                best[i] = max([best.get(i, -np.inf), *(float(sum(a * b for a, b in zip(y, x, strict=True))) for j, y in v if j == q)])
+        out[q] = sorted(best.items(), key=lambda e: (-e[1], e[0]))[:k]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["doubled", "two vectors", "one vector", "one id"])
+def test_repeated_rows_lose_no_neighbour(spark, kind):
+    rng = np.random.default_rng(3)
+    rows = [(i, x) for i, x in enumerate(rng.normal(size=(600, 6)).tolist())]
+    if kind == "doubled":
+        rows = rows * 2
+    elif kind == "two vectors":
+        rows += [(i, x) for i, x in enumerate(rng.normal(size=(600, 6)).tolist()) if i % 20 in (0, 3)]
+    elif kind == "one vector":
+        rows = [(i, rows[0][1]) for i, _ in rows]
+    else:  # a third of all rows
+        rows += [(7, x) for x in rng.normal(size=(300, 6)).tolist()]
+    frame = spark.createDataFrame([(i, x, 0) for i, x in rows], VECTORS)
+    got = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=5, block=64).collect()
+    for q, want in best_by_id(rows, 5).items():
+        own = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [r[:2] for r in own] == [(n, i) for n, (i, _) in enumerate(want, 1)]
+        assert [r[2] for r in own] == pytest.approx([x for _, x in want])
+    assert len(got) == 30 * 5
+
+
+def test_recall_where_the_forest_prunes(spark):
+    """20,000 vectors without structure: at most two thirds of the rows are read, and 0.9 of the nearest found."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(20_000, 64))
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    forest = neighbours.grow(v[:16_384], len(v), neighbours.TREES, neighbours.LEAF_ROWS, 1.0)
+    leaves, seen = forest.leaves(v), []
+    for found in forest.search(v[::500], neighbours.LEAST_LEAVES + round(neighbours.SHARE * 2**forest.depth)):
+        seen.append(np.mean(np.any([leaves[:, t] == leaf for t, leaf in found], axis=0)))
+    assert np.mean(seen) < 0.67
+    import pandas as pd
+
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(v)), "embedding": v.tolist()}), "vec_id long, embedding array<float>")
+    got = neighbours.nearest(frame, F.col("vec_id") % 100 == 0).toPandas().groupby("query_id").vec_id.apply(set)
+    scores = v[::100] @ v.T
+    scores[np.arange(200), np.arange(0, 20_000, 100)] = -np.inf
+    near = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([len(got[q * 100] & set(n.tolist())) / 20 for q, n in enumerate(near)]) >= 0.9
+
+
 def test_few_and_no_vectors(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0], 0), (3, [0.5, 0.5], 0), (40, [2.0, 0.0], 0)], VECTORS)
     got = neighbours.nearest(rows, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
@@ -171,6 +224,20 @@ def test_language_of_odd_tables(spark):
     assert language.identify(documents(spark, []), language.fit(documents(spark, []))).collect() == []
 
 
+def test_a_rare_language_is_not_starved(spark):
+    assert language.quotas({"a": 5, "b": 10**6, "c": 50}, 600, 12_000) == {"a": 5, "b": 600, "c": 50}
+    many = language.quotas({f"l{i}": 40_000 for i in range(29)} | {"rare": 150}, 600, 12_000)
+    assert many["rare"] == 150 and sum(many.values()) <= 12_000 and min(many.values()) == 150
+    letters = [chr(ord("a") + i) for i in range(26)] + ["ä", "ö", "ü"]
+    rows = [(i * 29 + at, " ".join([x * 3, x + "q" + x, f"{x}{i % 7}"]), f"lang_{x}", "s", 1) for at, x in enumerate(letters) for i in range(120)]
+    rows += [(10_000 + i, f"ßß ßzß ß{i % 7}", "rare", "s", 1) for i in range(20)]
+    docs = documents(spark, rows)
+    model = language.fit(docs, per_language=40, sample_docs=450)
+    assert len(model.languages) == 30
+    names, _ = model.predict(["ßß ßzß", "aaa aqa", "üüü üqü"])
+    assert names == ["rare", "lang_a", "lang_ü"]
+
+
 def test_held_out_is_the_crc_of_the_id(spark):
     import zlib
 
