@@ -2,21 +2,23 @@
 
 Every source offers its documents in a shuffled order, `copies` times over.  A
 document's virtual finish time is the number of its source's words up to and with it,
-divided by the source's target.  Serving documents by finish time keeps the sources in
-proportion at any moment; the mix is what is served within the total budget, that is up
-to time 1, where each source has given its target.
+divided by the source's target.  All documents are range-sorted by finish time and served in that
+order until the total budget is used up, which keeps the sources in proportion at any moment.
 
-The one document of a source that is being served at time 1 gives the words up to
-its target (`taken`); with `whole` it is taken or left, whichever is nearer.
+The one document of a source that runs over its target is served in two parts, of which
+the first ends where the source has given its target, at time 1 (`taken`).  So no long
+document keeps its source from its target, and the budget ends at time 1 as well.  With `whole`
+such a document is taken or left, whichever is nearer.
 
-Running sums never pass through one task: documents are dealt to slots by the leading
+Running sums never pass through one task.  In a source, documents are dealt to slots by the leading
 bits of their shuffle key, sums of slots are added up, and a document's sum is its
-slot's plus what precedes it in the slot.  The number of slots of a source
-grows with its documents, so a source with a third of all rows is cut finely.
+slot's plus what precedes it in the slot; the number of slots grows with the source's
+documents, so a source with a third of all rows is cut finely.  Over all sources, the same is
+done with the ranges of the global sort.
 
 Null text: size 0.  Null sources are a source of their own, last.  Documents of
 size 0 take part with 0 words.  Rows with the same doc_id, source and size stand side by
-side in the queue; `mixed_amounts` adds up what they give, `mixture` serves them together.
+side in the queue; each is a document of its own in `mixed_amounts`, while `mixture` serves them together.
 An empty table gives an empty mix.  Other columns play no part and are carried along.
 
 The targets are broadcast up to BROADCAST_SOURCES sources; beyond that Spark joins them
@@ -35,6 +37,7 @@ COPIES = 2
 SHARE = 1.5
 WEIGHTS = (5, 2, 1)
 SLOT_ROWS = 2000
+RANGE_ROWS = 250_000
 BROADCAST_SOURCES = 50_000
 
 
@@ -78,14 +81,18 @@ def shuffle_key(doc_id: Column, copy: Column, seed: int) -> Column:
 
 
 def fair_queue(docs: DataFrame, seed: int = 7, share: float = SHARE, weights=WEIGHTS, copies: int = COPIES,
-               whole: bool = False, slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """doc_id, source, copy, size, source_size, target, finish (virtual time), taken (words).
+               whole: bool = False, slot_rows: int = SLOT_ROWS, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """row, doc_id, source, copy, size, source_size, target, finish (virtual time), taken (words), served.
 
-    All copies of all documents are returned, those beyond the budget with taken = 0.
+    All copies of all documents are returned, those beyond the budget with taken = 0.  `row` numbers
+    the rows of `docs`.
     """
-    sizes = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mixing-sizes")
-    targets = staged(source_targets(sizes, share, weights, copies).coalesce(1), "mixing-targets")
-    if targets.count() <= BROADCAST_SOURCES:
+    sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    sizes = staged(sizes.withColumn("row", F.monotonically_increasing_id()), "mixing-sizes")
+    targets = source_targets(sizes, share, weights, copies).withColumn("goal", F.round("target").cast("long"))
+    targets = staged(targets.coalesce(1), "mixing-targets")
+    facts = targets.agg(F.count("*").alias("sources"), F.sum("rows").alias("rows"), F.sum("goal").alias("budget")).first()
+    if facts["sources"] <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
     same_source = F.col("d.source").eqNullSafe(F.col("t.source"))
     offered = (
@@ -93,7 +100,7 @@ def fair_queue(docs: DataFrame, seed: int = 7, share: float = SHARE, weights=WEI
         .withColumn("key", shuffle_key(F.col("doc_id"), F.col("copy"), seed))
         .alias("d")
         .join(targets.alias("t"), same_source)
-        .select("doc_id", "d.source", "copy", "size", "key", "rows", "source_size", "target")
+        .select("row", "doc_id", "d.source", "copy", "size", "key", "rows", "source_size", "target", "goal")
         .withColumn("slots", F.ceil(F.col("rows") / F.lit(slot_rows)))
         .withColumn(
             "slot",
@@ -105,26 +112,55 @@ def fair_queue(docs: DataFrame, seed: int = 7, share: float = SHARE, weights=WEI
     slot_sums = slot_sums.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     in_slot = (
         Window.partitionBy("source", "copy", "slot")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", "row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    served = offered.withColumn("within", F.sum("size").over(in_slot)).alias("o").join(
+    given = offered.withColumn("within", F.sum("size").over(in_slot)).alias("o").join(
         slot_sums.alias("s"),
         F.col("o.source").eqNullSafe(F.col("s.source"))
         & (F.col("o.copy") == F.col("s.copy"))
         & (F.col("o.slot") == F.col("s.slot")),
     )
     end = F.col("before") + F.col("within")
-    # Time 1 is where all targets, and so the budget, are used up.
-    left = F.round(F.col("target")).cast("long") - (end - F.col("size"))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), left))
+    timed = given.select("row", "doc_id", "o.source", "o.copy", "size", "source_size", "target", "goal", end.alias("end"))
+    # A document that runs over the goal is offered up to it; its rest would come after time 1.
+    over = (F.col("end") > F.col("goal")) & (F.col("end") - F.col("size") < F.col("goal"))
+    words = F.when(over, F.col("goal") - F.col("end") + F.col("size")).otherwise(F.col("size"))
+    time = F.when(over, F.lit(1.0)).when(F.col("goal") > 0, F.col("end") / F.col("goal")).otherwise(F.lit(0.0))
+    served = _serve(
+        timed.withColumn("words", words).withColumn("finish", time), int(facts["budget"] or 0),
+        max(1, copies * int(facts["rows"] or 0) // range_rows),
+    )
+    part = F.col("given")
     taken = F.when(part * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0)) if whole else part
-    # An empty document is taken if it is offered before time 1.
-    finish = F.when(F.col("target") > 0, end / F.col("target")).otherwise(F.lit(0.0))
+    # An empty document is served if it is offered before time 1.
+    offered_in_time = F.col("end") - F.col("size") < F.col("goal")
     return served.select(
-        "doc_id", "o.source", "o.copy", "size", "source_size", "target",
-        finish.alias("finish"), taken.cast("long").alias("taken"),
-        ((left > 0) & ((F.col("size") == 0) | (taken > 0))).alias("served"),
+        "row", "doc_id", "source", "copy", "size", "source_size", "target", "finish", taken.cast("long").alias("taken"),
+        (offered_in_time & ((F.col("size") == 0) | (taken > 0))).alias("served"),
+    )
+
+
+def _serve(queue: DataFrame, budget: int, ranges: int) -> DataFrame:
+    """The queue with `given`: how many of its `words` each entry gives until the budget is used up.
+
+    The queue is range-sorted by finish time; an entry's running total is the sum of
+    the ranges before its own, and of what precedes it in its range.
+    """
+    order = ["finish", "doc_id", "copy", "row"]
+    queue = queue.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id())
+    queue = staged(queue, "mixing-queue")
+    sums = queue.groupBy("range").agg(F.sum("words").alias("held"))
+    # One row per range.
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("range", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("earlier"))
+    in_range = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.col("earlier") + F.col("upto")
+    left = F.lit(budget) - (total - F.col("words"))
+    return (
+        queue.withColumn("upto", F.sum("words").over(in_range))
+        .join(sums, "range")
+        .withColumn("given", F.greatest(F.lit(0), F.least(F.col("words"), left)))
     )
 
 
@@ -146,9 +182,10 @@ def mixture(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
 
 
 def mixed_amounts(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, taken over all copies."""
+    """Per row of `docs`: doc_id, source, size, source_size, target, taken over all copies."""
     return (
         fair_queue(docs, seed, **options)
-        .groupBy("doc_id", "source", "size", "source_size", "target")
+        .groupBy("row", "doc_id", "source", "size", "source_size", "target")
         .agg(F.sum("taken").alias("taken"))
+        .drop("row")
     )

@@ -125,7 +125,7 @@ ORACLES = {
     **LATER_ORACLES,
     "op6_source_mixing": rf"""
 WITH sizes AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size FROM documents),
+  SELECT row_number() OVER () AS row, doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
 named AS (
   SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
@@ -142,13 +142,13 @@ targets AS (
          ELSE (SELECT max(level) FROM levels WHERE level * weight < cap) * weight END AS target
   FROM levels),
 offered AS (
-  SELECT doc_id, s.source, size, source_size, target,
-    sum(size) OVER (PARTITION BY s.source ORDER BY copy, md5('7:' || copy || ':' || doc_id), doc_id, size
+  SELECT row, doc_id, s.source, size, source_size, target,
+    sum(size) OVER (PARTITION BY s.source ORDER BY copy, md5('7:' || copy || ':' || doc_id), doc_id, size, row
                     ROWS UNBOUNDED PRECEDING) AS upto
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1)) c(copy))
 SELECT doc_id, size, source_size, target,
   sum(greatest(0, least(size, round(target)::BIGINT - (upto - size))))::BIGINT AS taken
-FROM offered GROUP BY doc_id, source, size, source_size, target
+FROM offered GROUP BY row, doc_id, source, size, source_size, target
 """,
     "op8_chat_formatting": r"""
 WITH turns AS (

@@ -126,6 +126,40 @@ def test_mixing(spark, slot_rows):
     assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mixed_amounts(documents(spark, rows), slot_rows=9).collect()))
 
 
+@pytest.mark.parametrize("range_rows", [3, 10**6])
+def test_ranges_of_the_queue_do_not_change_the_mix(spark, range_rows):
+    rows = [(i, "word " * (1 + i % 23), "en", "src%d" % (i % 4), 1) for i in range(150)] + [(900, "long " * 5000, "en", "src1", 1)]
+    got = mixing.mixed_amounts(documents(spark, rows), range_rows=range_rows, slot_rows=7).collect()
+    taken = defaultdict(int)
+    for r in got:
+        assert 0 <= r.taken <= 2 * r["size"]
+        taken[r.source] += r.taken
+    assert len(got) == len(rows) and all(abs(taken[r.source] - r.target) <= 1 for r in got)
+    queue = mixing.fair_queue(documents(spark, rows), range_rows=range_rows).collect()
+    # Everything before time 1 is given whole, nothing behind it.
+    assert all(r.taken == r["size"] for r in queue if r.finish < 1) and not any(r.taken for r in queue if r.finish > 1)
+
+
+def test_the_queue_is_sorted_by_range(spark, monkeypatch):
+    plans = []
+
+    def kept(rows, name):
+        plans.append((name, rows._jdf.queryExecution().executedPlan().toString()))
+        return rows
+
+    monkeypatch.setattr(mixing, "staged", kept)
+    mixing.mixed_amounts(documents(spark), range_rows=3)
+    assert "rangepartitioning(finish" in dict(plans)["mixing-queue"]
+
+
+def test_repeated_rows_are_documents_of_their_own(spark):
+    rows = [(1, "a b c d", "en", "s", 1)] * 3 + [(2, "a b c d e f", "en", "t", 1)]
+    got = sorted((r.doc_id, r["size"], r.taken) for r in mixing.mixed_amounts(documents(spark, rows)).collect())
+    assert [g[:2] for g in got] == [(1, 4)] * 3 + [(2, 6)]
+    assert all(taken <= 2 * size for _, size, taken in got) and sum(g[2] for g in got) == 27
+    assert got == sorted((r.doc_id, r["size"], r.taken) for r in mixing.mixed_amounts(documents(spark, rows)).collect())
+
+
 def test_mixture_serves_whole_documents_in_order(spark):
     rows = [(i, "word " * 10, "en", "a" if i < 30 else "b", 1) for i in range(60)]
     docs = clashing(documents(spark, rows))
