@@ -21,7 +21,9 @@ shares as many prefix shingles as the smaller of its two numbers.
    costs its size, not its square.  While lists still hold many pairs of different components and
    that helps, other documents are made first (`PIVOT_ROUNDS` times at most).
 5. All pairs of different components that are left, by the multi-match rule, if what they share in
-   their prefixes leaves room for the overlap they need (`may_link`).
+   their prefixes leaves room for the overlap they need (`may_link`).  Bitmaps of the prefixes
+   and of the whole sets bound what two documents can share (`most_shared`, `sets_may_link`), so few pairs
+   that cannot link are made.
 
 Verification is exact on 64-bit shingle hashes; it moves the sets of the documents that are in
 pairs, to blocks of at most about BLOCK members of one first document.
@@ -56,6 +58,8 @@ BLOCK = 256
 FIRSTS = 2  # first documents that a document is verified against in a round
 PIVOT_ROUNDS = 4
 OPEN_PAIRS = 100  # pairs per list entry that step 5 takes on without a further round of 4
+WORDS = 4  # of 64 bits, in the bitmap of a document's open entries
+SKETCH = [f"sketch{w}" for w in range(8)]  # of 64 bits each, the bitmap of a document's whole set
 BROADCAST_IDS = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -141,8 +145,15 @@ def lengthen(frequencies: np.ndarray, shortest: int, most: int) -> int:
     return best
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the shingles in each of 64 * len(SKETCH) bits."""
+    bits = 64 * len(SKETCH)
+    places = ((shingles >> np.uint64(40)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits) % 2 == 1).view(np.int64)
+
+
 def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, digest (of the set), matches, prefix (shingle hashes, 8 bytes each)."""
+    """doc_id, n, digest (of the set), matches, prefix (shingle hashes, 8 bytes each), SKETCH."""
     order = docs.sparkSession.sparkContext.broadcast(Order.of(docs, size))  # COUNTERS numbers
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -162,22 +173,23 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     matches.append(m)
                     tokens.append(ranked[: len(own) - least + m].tobytes())
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                sketches = np.array([sketch(s) for s in sets], dtype=np.int64).reshape(-1, len(SKETCH))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array(matches, pa.int32()), pa.array(tokens, pa.binary())],
-                    names=["doc_id", "n", "digest", "matches", "prefix"],
+                     pa.array(matches, pa.int32()), pa.array(tokens, pa.binary()), *(pa.array(x) for x in sketches.T)],
+                    names=["doc_id", "n", "digest", "matches", "prefix", *SKETCH],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n long, digest binary, matches int, prefix binary"
+        run, f"doc_id {id_type}, n long, digest binary, matches int, prefix binary, " + ", ".join(f"{s} long" for s in SKETCH)
     )
 
 
 def representatives(documents: DataFrame) -> DataFrame:
     """Of documents with equal sets the one of smallest id; with the columns of `prefixes`."""
-    one = F.min_by(F.struct("n", "matches", "prefix"), "doc_id").alias("of")
+    one = F.min_by(F.struct("n", "matches", "prefix", *SKETCH), "doc_id").alias("of")
     found = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), one)
-    return found.select("doc_id", "digest", "of.n", "of.matches", "of.prefix")
+    return found.select("doc_id", "digest", "of.*")
 
 
 LISTS = "token long, doc long, n long, matches int, first long, first_n long, first_matches int"
@@ -301,11 +313,23 @@ def may_link(percent: int, shared: Column | None = None) -> Column:
     at most `shared` and what is behind one of the prefixes.
     """
 
+    most = (F.col("shared") if shared is None else shared) + most_behind(percent)
+    return (100 + percent) * most >= percent * (F.col("n") + F.col("other_n"))
+
+
+def most_behind(percent: int) -> Column:
+    """What two sets can share behind their prefixes."""
+
     def behind(n: str, matches: str) -> Column:
         return F.floor((F.col(n) * percent + 99) / 100) - F.col(matches)
 
-    most = (F.col("shared") if shared is None else shared) + F.greatest(behind("n", "matches"), behind("other_n", "other_matches"))
-    return (100 + percent) * most >= percent * (F.col("n") + F.col("other_n"))
+    return F.greatest(behind("n", "matches"), behind("other_n", "other_matches"))
+
+
+def least_shared(percent: int) -> Column:
+    """The prefix shingles that two sets have to share at least."""
+    overlap = F.floor((percent * (F.col("n") + F.col("other_n")) + 99 + percent) / (100 + percent))
+    return F.greatest(F.least("matches", "other_matches"), overlap - most_behind(percent))
 
 
 def first_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -318,7 +342,7 @@ def first_pairs(entries: DataFrame, percent: int) -> DataFrame:
         entries.where("doc <> first")
         .withColumnRenamed("first_n", "other_n").withColumnRenamed("first_matches", "other_matches")
         .where(fits(percent))
-        .groupBy("doc", "first", "n", "matches", "other_n", "other_matches").agg(F.count("*").alias("shared"))
+        .groupBy("doc", "first", "n", "matches", "other_n", "other_matches").agg(F.sum("weight").alias("shared"))
         .where(may_link(percent))
     )
     best = Window.partitionBy("doc").orderBy(F.desc("shared"), "first")
@@ -327,15 +351,64 @@ def first_pairs(entries: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def most_shared() -> Column:
+    """What two documents can share at most in open lists.
+
+    Shingles of both cancel out in the sum of their bitmaps, so each bit left there is a shingle that only
+    one has: they share at most half of what remains of their entries.
+    """
+    apart = sum((F.bit_count(F.col(f"bits{w}").bitwiseXOR(F.col(f"other_bits{w}"))) for w in range(WORDS)), F.lit(0))
+    return F.least("entries", "other_entries", F.floor((F.col("entries") + F.col("other_entries") - apart) / 2))
+
+
+def sets_may_link(percent: int) -> Column:
+    """Whether whole sets can link: each bit left in the sum of their bitmaps is a shingle that only one has."""
+    apart = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"other_{s}"))) for s in SKETCH), F.lit(0))
+    both = F.col("n") + F.col("other_n")
+    return F.coalesce((100 + percent) * (both - apart) >= 2 * percent * both, F.lit(True))
+
+
+def with_sketches(entries: DataFrame, represented: DataFrame) -> DataFrame:
+    """The entries with SKETCH, null where an id stands for several sets of one size."""
+    several = F.count("*") > 1
+    sketches = represented.groupBy(F.col("doc_id").alias("doc"), "n", "matches").agg(
+        *[F.when(~several, F.first(s)).alias(s) for s in SKETCH]
+    )
+    return entries.join(sketches, ["doc", "n", "matches"])
+
+
 def open_lists(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries with their components, of lists that hold two components or more."""
+    """The entries with their components, of lists that hold two components or more.
+
+    Lists of the same documents, as groups of copies have many, are one, `weight` tells of how many shingles.
+    """
     named = entries.join(labels, F.col("doc") == F.col("id"), "left").select(
         "token", "doc", "n", "matches", F.coalesce("component", "doc").alias("component")
     )
-    several = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    # Sums of 32 bits: what a list holds, whatever the order, in 96 bits and its length.
+    held = [F.sum(F.xxhash64(F.lit(i), "doc", "n", "matches").bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"held{i}") for i in range(3)]
+    several = (
+        named.groupBy("token")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("length"), *held)
+        .where("low < high")
+    )
+    bit = F.expr("shiftleft(1L, cast(shiftright(token, 40) & 63 AS int))")
+    word = F.expr(f"pmod(shiftright(token, 46), {WORDS})")
+    none = F.lit(0).cast("long")
+    bits = [f"bits{w}" for w in range(WORDS)]
+    alike = several.groupBy("length", "held0", "held1", "held2").agg(
+        F.min("token").alias("token"), F.count("*").alias("weight"),
+        *[F.bit_xor(F.when(word == w, bit).otherwise(none)).alias(b) for w, b in enumerate(bits)],
+    ).select("token", "weight", *bits)
     # `entries`: in how many open lists a document is, which bounds what it shares with any other.
-    return named.join(several.select("token"), "token").withColumn(
-        "entries", F.count("*").over(Window.partitionBy("doc"))
+    # `ahead`: of how many shingles its lists are from this one on, this one included.
+    # `bits`: the parity of its shingles there in each of 64 * WORDS bits.
+    own = Window.partitionBy("doc")
+    return named.join(alike, "token").select(
+        "token", "doc", "n", "matches", "component", "weight",
+        F.sum("weight").over(own).alias("entries"),
+        F.sum("weight").over(own.orderBy(F.desc("token"))).alias("ahead"),
+        *[F.bit_xor(b).over(own).alias(b) for b in bits],
     )
 
 
@@ -344,24 +417,28 @@ def pivots(entries: DataFrame, round_number: int) -> DataFrame:
     draw = F.min(F.struct(F.xxhash64("doc", F.lit(round_number)).alias("h"), "doc", "n", "matches", "component")).alias("pivot")
     chosen = entries.groupBy("token").agg(draw)
     return entries.join(chosen, "token").where("component <> pivot.component").select(
-        "token", "doc", "n", "matches",
+        "token", "doc", "n", "matches", "weight",
         F.col("pivot.doc").alias("first"), F.col("pivot.n").alias("first_n"), F.col("pivot.matches").alias("first_matches"),
     )
 
 
 def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of different components that share as many prefix shingles as they must."""
-    left = entries.select("token", F.col("doc").alias("a"), "n", "matches", "component", "entries")
-    right = entries.select(
-        "token", F.col("doc").alias("b"), F.col("n").alias("other_n"), F.col("matches").alias("other_matches"),
-        F.col("component").alias("other_component"), F.col("entries").alias("other_entries"),
+    """(a, b): all pairs of different components that share as many prefix shingles as they must.
+
+    Two documents that share `least_shared` or more have, at their first common lists, that many shingles
+    ahead.  So they are paired at the first lists only, until they have as many matches as they ask for.
+    """
+    bits = [f"bits{w}" for w in range(WORDS)]
+    both = ["n", "matches", "component", "entries", "ahead", *bits, *SKETCH]
+    left = entries.select("token", F.col("doc").alias("a"), "weight", *both)
+    right = entries.select("token", F.col("doc").alias("b"), *[F.col(c).alias(f"other_{c}") for c in both])
+    least, asked = least_shared(percent), F.least("matches", "other_matches")
+    possible = (
+        fits(percent) & (F.least("ahead", "other_ahead") > least - asked) & (most_shared() >= least) & sets_may_link(percent)
     )
-    most = F.least("entries", "other_entries")
-    possible = fits(percent) & (most >= F.least("matches", "other_matches")) & may_link(percent, most)
     pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other_component")) & possible)
-    counted = pairs.groupBy("a", "b", "n", "matches", "other_n", "other_matches").agg(F.count("*").alias("shared"))
-    enough = F.col("shared") >= F.least("matches", "other_matches")
-    return counted.where(enough & may_link(percent)).select("a", "b")
+    counted = pairs.groupBy("a", "b", "n", "matches", "other_n", "other_matches").agg(F.sum("weight").alias("shared"))
+    return counted.where(F.col("shared") >= asked).select("a", "b")
 
 
 def _pair_count(entries: DataFrame) -> tuple[int, int]:
@@ -379,7 +456,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     documents = staged(prefixes(docs, size, percent), "prefixes")
     represented = staged(representatives(documents), "representatives")
     entries = staged(lists(represented), "lists")
-    links = staged(linked(first_pairs(entries, percent), docs, size, percent), "linked")
+    links = staged(linked(first_pairs(entries.withColumn("weight", F.lit(1)), percent), docs, size, percent), "linked")
     labels = components(links)
     before = None
     for round_number in range(PIVOT_ROUNDS + 1):
@@ -391,7 +468,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
         idle = before is not None and 2 * pairs > before
         last = pairs <= OPEN_PAIRS * count or round_number == PIVOT_ROUNDS or idle
         before = pairs
-        candidates = open_pairs(left, percent) if last else first_pairs(pivots(left, round_number), percent)
+        candidates = open_pairs(with_sketches(left, represented), percent) if last else first_pairs(pivots(left, round_number), percent)
         links = links.unionByName(staged(linked(candidates, docs, size, percent), "linked"))
         labels = components(links)
         if last:
