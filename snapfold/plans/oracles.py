@@ -299,8 +299,9 @@ HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
     "cdc_counts": _ctes(PAIR, CHANGES)
     + "SELECT cdc_action, count(*) AS n_rows FROM changes GROUP BY cdc_action",
     "cdc_fingerprint": f"""{_ctes(PAIR)}
-SELECT employee_id, {_ROW_TEXT} AS row_text, md5({_ROW_TEXT}) AS fingerprint
-FROM (SELECT *, cast(salary AS varchar) AS pay FROM inc)""",
+SELECT day, employee_id, {_ROW_TEXT} AS row_text, md5({_ROW_TEXT}) AS fingerprint
+FROM (SELECT *, cast(salary AS varchar) AS pay, '{inputs.LATER}' AS day FROM inc
+      UNION ALL BY NAME SELECT *, cast(salary AS varchar) AS pay, '{inputs.EARLIER}' AS day FROM cur)""",
     "cdc_insert": _ctes(PAIR, CHANGES)
     + _shown_state(f"({_inserted('changes', inputs.LATER)})"),
     "cdc_update": _ctes(PAIR, CHANGES)

@@ -204,9 +204,13 @@ def cdc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming, _ = _pair(spark, sf_dir)
+    """Of the rows of both days, which hold every order between them."""
+    incoming, current = (
+        rows.withColumn("day", F.lit(day)) for rows, day in zip(_pair(spark, sf_dir), (inputs.LATER, inputs.EARLIER), strict=True)
+    )
     compared = [F.col(c) for c in cdc.EMPLOYEES.compare]
-    return incoming.select(
+    return incoming.unionByName(current).select(
+        "day",
         "employee_id",
         row_text(*compared).alias("row_text"),
         row_fingerprint(*compared).alias("fingerprint"),
