@@ -21,7 +21,7 @@ from snapfold.plans import inputs
 from snapfold.plans.cycle import load_bronze, refresh_silver, run_cycle, stage_incoming
 from snapfold.schemas import SNAPSHOT_COLUMNS
 from snapfold.session import configure, scratch_dir
-from snapfold.sources.lake import LAYOUTS, WIDE_LAYOUTS, Lake, Layout
+from snapfold.sources.lake import LAYOUTS, WIDE_LAYOUTS, WIDE_TOTAL_LAYOUTS, Lake, Layout
 from snapfold.sources.snapshot import read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -351,7 +351,8 @@ def _two_cycles(
 
 
 def cycle_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_two_cycles(spark, sf_dir, "cycle_silver").table("silver.employees"))
+    lake = _two_cycles(spark, sf_dir, "cycle_silver", WIDE_TOTAL_LAYOUTS)
+    return shown(lake.table("silver.employees"))
 
 
 def cycle_department_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:

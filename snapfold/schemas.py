@@ -98,9 +98,9 @@ GOLD_HIRING_TRENDS = (
 _WIDE = ("employee_id", "total_employees", "active_employees", "total_salary_cost", "total_hires")
 
 
-def widened(layout):
-    """The layout with BIGINT keys, counts and totals."""
-    return tuple((name, "BIGINT" if name in _WIDE else sql_type) for name, sql_type in layout)
+def widened(layout, columns=_WIDE):
+    """The layout with BIGINT keys, counts and totals, or those of them that are named."""
+    return tuple((name, "BIGINT" if name in columns else sql_type) for name, sql_type in layout)
 
 
 def names(layout) -> list[str]:

@@ -51,6 +51,12 @@ WIDE_LAYOUTS = {
     name: Layout(schemas.widened(layout.columns), layout.bucket_by) for name, layout in LAYOUTS.items()
 }
 
+# The same for cost totals alone, which outgrow INT long before keys and counts do.
+WIDE_TOTAL_LAYOUTS = {
+    name: Layout(schemas.widened(layout.columns, ("total_salary_cost",)), layout.bucket_by)
+    for name, layout in LAYOUTS.items()
+}
+
 
 class Lake:
     """Tables under ``root``, readable as ``<prefix>bronze.employees`` and so on.
