@@ -367,7 +367,7 @@ def cycle_wide_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cycle_hiring_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _two_cycles(spark, sf_dir, "cycle_hiring_trends")
+    lake = _two_cycles(spark, sf_dir, "cycle_hiring_trends", WIDE_TOTAL_LAYOUTS)
     return shown(lake.table("gold.hiring_trends"))
 
 

@@ -29,6 +29,6 @@ def large_con(large):
     return con
 
 
-@pytest.mark.parametrize("name", ["cycle_silver"])
+@pytest.mark.parametrize("name", ["cycle_silver", "cycle_hiring_trends"])
 def test_tables_beside_the_totals(spark, large, large_con, name):
     assert compare(spark, large_con, large, queries()[name], oracle_sql()[name]) is None
