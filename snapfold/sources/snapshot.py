@@ -29,6 +29,9 @@ MAX_BROADCAST_SPLITS = 500_000
 # Splits of a file are summed up in blocks of about so many, and then the blocks.
 BLOCK_SPLITS = 256
 
+# A task takes as many whole splits as make up this much text, where cores are busy all the same.
+TASK_BYTES = 32 * 1024 * 1024
+
 # Tables of pieces are read back in splits of at least this size.
 LEAST_READ_BYTES = 4 * 1024 * 1024
 
@@ -99,6 +102,19 @@ def _require(condition: Column, value: Column, message: str) -> Column:
     return F.when(condition, value).otherwise(F.raise_error(F.lit(message)).cast("string"))
 
 
+def _several_splits(lines: DataFrame) -> DataFrame:
+    """The same splits, each in one piece and in order, in tasks of TASK_BYTES instead of one for each.
+
+    A task has its price (a Python worker's turn, a file of pieces that every later step opens), which
+    small splits would pay once each.  At least three tasks per core remain.
+    """
+    spark = lines.sparkSession
+    n_splits = lines.rdd.getNumPartitions()
+    by_size = -(-n_splits * _split_bytes(spark) // TASK_BYTES)
+    n_tasks = max(by_size, 3 * spark.sparkContext.defaultParallelism)
+    return lines.coalesce(n_tasks) if n_tasks < n_splits else lines
+
+
 def _line_breaks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
@@ -185,7 +201,8 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str], fo
         F.col("value").alias("line"),
     )
     block_bytes = BLOCK_SPLITS * _split_bytes(spark)
-    lines.select(*split, "line").mapInArrow(record_tasks.assemble, record_tasks.PIECES).write.parquet(f"{folder}/pieces")
+    dealt = _several_splits(lines.select(*split, "line"))
+    dealt.mapInArrow(record_tasks.assemble, record_tasks.PIECES).write.parquet(f"{folder}/pieces")
     pieces = _read_back(spark, record_tasks.PIECES, f"{folder}/pieces")
 
     seen = Observation()

@@ -2,6 +2,7 @@
 
 import csv
 import io
+import os
 import random
 
 import pandas as pd
@@ -65,6 +66,19 @@ def nasty_records(n, seed):
     return [[str(i), *(text() for _ in COLUMNS[1:])] for i in range(n)]
 
 
+def test_small_splits_do_not_cost_a_task_each(spark, tmp_path, split_bytes):
+    """They are cut as told, but tasks take several of them and leave few files of pieces."""
+    records = nasty_records(400, 3)
+    path = write(tmp_path / "a.csv", records, quoting=csv.QUOTE_ALL)
+    split_bytes(100)
+    found, folder = snapshot.scan_snapshot(spark, path)
+    pieces = spark.read.parquet(f"{folder}/pieces")
+    assert pieces.select("start").distinct().count() > 200
+    tasks = [f for f in os.listdir(f"{folder}/pieces") if f.startswith("part-")]
+    assert len(tasks) <= 3 * spark.sparkContext.defaultParallelism
+    assert rows(found) == expected(records)
+
+
 @pytest.mark.parametrize("size", [40, 333, 5000, 10**8])
 @pytest.mark.parametrize("eol", ["\n", "\r\n"], ids=["lf", "crlf"])
 def test_records_are_put_together_over_any_splits(spark, tmp_path, split_bytes, size, eol):
