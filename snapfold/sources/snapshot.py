@@ -116,7 +116,13 @@ def _several_splits(lines: DataFrame) -> DataFrame:
 
 
 def _line_breaks(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    # In bytes, which a text knows the number of; characters would be counted anew.
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+
+
+def _without_last_cr(text: Column) -> Column:
+    cut = F.substring(text, F.lit(1), F.length(text) - 1)
+    return F.when(F.endswith(text, F.lit("\r")), cut).otherwise(text)
 
 
 def _read_back(spark: SparkSession, schema, folder: str) -> DataFrame:
@@ -239,11 +245,11 @@ def _read_in_splits(spark: SparkSession, paths: list[str], header: list[str], fo
     )
     records = chosen.where(F.col("text").isNotNull()).select("is_header", "text").unionByName(shared)
 
-    parsed = records.withColumn("text", F.regexp_replace("text", r"\r\z", "")).select(
+    parsed = records.withColumn("text", _without_last_cr(F.col("text"))).select(
         "is_header",
         F.from_csv("text", _text_schema([*header, _SURPLUS]), _CSV).alias("row"),
         (F.col("text") == "").alias("is_blank"),
-        (F.length("text") <= MAX_RECORD).alias("is_short"),
+        ((F.octet_length("text") <= MAX_RECORD) | (F.length("text") <= MAX_RECORD)).alias("is_short"),
         _line_breaks(F.col("text")).alias("line_breaks"),
     )
     same_header = F.to_json("row") == F.to_json(

@@ -66,6 +66,17 @@ def nasty_records(n, seed):
     return [[str(i), *(text() for _ in COLUMNS[1:])] for i in range(n)]
 
 
+def test_records_are_parsed_without_regular_expressions(spark, tmp_path, monkeypatch):
+    """What every record passes is counted in bytes; the limit is still one of characters."""
+    records = [[str(i), "中\n" * 20, *("" for _ in COLUMNS[2:])] for i in range(5)]
+    path = write(tmp_path / "a.csv", records, eol="\r\n", quoting=csv.QUOTE_ALL)
+    # Fewer characters than the limit, but more bytes.
+    monkeypatch.setattr(snapshot, "MAX_RECORD", 150)
+    found = read_snapshot(spark, path)
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == expected(records)
+
+
 def test_small_splits_do_not_cost_a_task_each(spark, tmp_path, split_bytes):
     """They are cut as told, but tasks take several of them and leave few files of pieces."""
     records = nasty_records(400, 3)
